@@ -18,7 +18,7 @@ def chi_squared_tail(statistic: float, dof: int) -> float:
     Builds Q(dof/2, x/2) upwards from Q(1/2, x) = erfc(sqrt x) or
     Q(1, x) = exp(-x), adding x**a exp(-x) / gamma(a + 1) per step.
     """
-    if statistic <= 0:
+    if statistic <= 0 or dof < 1:
         return 1.0
     x = statistic / 2
     shape, tail = (0.5, math.erfc(math.sqrt(x))) if dof % 2 else (1.0, math.exp(-x))

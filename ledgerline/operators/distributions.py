@@ -136,26 +136,47 @@ def box_stats(df: DataFrame, value: str, by: str, levels: Sequence) -> DataFrame
 
 
 def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson matrix in long form ``(a, b, r)``; one job for all pairs.
+    """Pearson matrix in long form ``(a, b, r)``.
 
-    Pairs ignore rows where either value is NULL; a constant column gives NULL.
+    Each pair uses the rows where both values are present, and a constant
+    column gives NULL. Sums of centred products are taken per combination of
+    missing columns (mostly a single one), so all pairs share two scans.
     """
-    pairs = list(itertools.combinations_with_replacement(columns, 2))
-    row = df.agg(*[
-        F.when(F.lit(a == b), F.nullif(F.corr(a, b), F.lit(float("nan"))))
-        .otherwise(F.nullif(F.corr(a, b), F.lit(float("nan"))))
-        .alias(f"r{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    index = {pair: i for i, pair in enumerate(pairs)}
-    cells = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            F.round(F.col(f"r{index.get((a, b), index.get((b, a)))}"), digits).alias("r"),
-        )
-        for a in columns for b in columns
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = numbers.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("m"))
+    centred = numbers.withColumn("_m", means.scalar()).select(
+        *[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in columns]
+    )
+    missing = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
+    # Wide expressions are written as SQL text: one call each, not thousands.
+    k = range(len(columns))
+    products = [
+        f"sum(`{columns[i]}` * `{columns[j]}`) AS s{i}_{j}"
+        for i, j in itertools.combinations_with_replacement(k, 2)
     ]
-    return row.select(F.inline(F.array(*cells)))
+    sums = centred.groupBy(missing.alias("_missing")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.expr(p) for p in products],
+    )
+    cells = ", ".join(
+        f"struct({i} AS i, {j} AS j, n, s{i} AS sa, s{j} AS sb, s{i}_{i} AS saa,"
+        f" s{j}_{j} AS sbb, s{min(i, j)}_{max(i, j)} AS sab)"
+        for i in k for j in k
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = sums.selectExpr(f"inline(array({cells}))")
+    both = F.col("sa").isNotNull() & F.col("sb").isNotNull()
+    total = cells.groupBy("i", "j").agg(*[
+        F.sum(F.when(both, F.col(name))).alias(name)
+        for name in ("n", "sa", "sb", "saa", "sbb", "sab")
+    ])
+    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
+    spread = (F.col("saa") - sa * sa / n) * (F.col("sbb") - sb * sb / n)
+    r = (F.col("sab") - sa * sb / n) / F.sqrt(F.when(spread > 0, spread))
+    return total.select(
+        names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.round(r, digits).alias("r")
+    )
 
 
 def crosstab(

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline import schemas
+from ledgerline.sources.files import literal_table
 
 RAW_FEATURES, FEATURES = "features_raw", "features"
 
@@ -49,8 +50,10 @@ def feature_names(prepared: DataFrame, column: str = RAW_FEATURES) -> list[str]:
 
 
 def slots_table(prepared: DataFrame, column: str = RAW_FEATURES) -> DataFrame:
-    rows = list(enumerate(feature_names(prepared, column)))
-    return prepared.sparkSession.createDataFrame(rows, "slot int, feature string")
+    table = literal_table(
+        prepared.sparkSession, enumerate(feature_names(prepared, column)), ["slot", "feature"]
+    )
+    return table.withColumn("slot", F.col("slot").cast("int"))
 
 
 def nonzero_slots(prepared: DataFrame, vector: str, *keep: str) -> DataFrame:

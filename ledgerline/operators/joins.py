@@ -7,11 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 2**20
 
 
-def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the lookup has at most ``max_rows`` rows; reads no more than that."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
+def is_small(
+    lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a lookup may be broadcast; measures at most ``max_rows`` rows of it."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns]
+    row_bytes = sum(texts, F.lit(8 * len(texts)))
+    size = lookup.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")
+    ).first()
+    return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
@@ -36,7 +44,8 @@ def shuffle_join(
 
     A lookup key such as a job title may own a third of the fact table; the
     salt (a hash of ``salt_on``, ideally the row key) divides it evenly and
-    each lookup row is repeated once per salt.
+    each lookup row is repeated once per salt. AQE's skew join splits further
+    whatever is still oversized.
     """
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -19,18 +19,19 @@ def times(df: DataFrame, copies: int) -> DataFrame:
 
 
 def repartition_by(
-    df: DataFrame, partitions: int, key: str, salt_on: Sequence[str] = (), salts: int = 8
+    df: DataFrame, partitions: int, key: str, salt_on: Sequence[str] = (), salts: int | None = None
 ) -> DataFrame:
     """Hash-partition by key, optionally splitting each key over several partitions.
 
     Without ``salt_on`` one key is one partition and a following aggregate by
     that key needs no further exchange. That fits evenly sized keys only: with
-    few or hot keys pass ``salt_on``; the aggregate then combines within each
-    partition and shuffles one row per key and partition.
+    few or hot keys pass ``salt_on`` (ideally the row key); each key then
+    covers up to ``salts`` partitions, all of them by default, and the
+    aggregate combines within a partition and shuffles one row per key.
     """
     if not salt_on:
         return df.repartition(partitions, key)
-    return df.repartition(partitions, F.col(key), F.pmod(F.xxhash64(*salt_on), F.lit(salts)))
+    return df.repartition(partitions, F.col(key), F.pmod(F.xxhash64(*salt_on), F.lit(salts or partitions)))
 
 
 @contextlib.contextmanager

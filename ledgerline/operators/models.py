@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerline import schemas
 from ledgerline.operators import evaluation, features, sampling
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.files import literal_table
 
 # Baseline parameters and tuning grids.
 LR_BASE = {"maxIter": 50}
@@ -108,7 +109,7 @@ def grid_table(tuned: CrossValidatorModel, df: DataFrame) -> DataFrame:
         (", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda i: i[0].name)), float(m))
         for point, m in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics)
     ]
-    return df.sparkSession.createDataFrame(rows, "params string, roc_auc double")
+    return literal_table(df.sparkSession, rows, ["params", "roc_auc"])
 
 
 def predict(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def feature_importance(model: PipelineModel, prepared: DataFrame, top: int | Non
     """Importances of a tree model under the names of the vector's slots."""
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(n, float(w)) for n, w in zip(features.feature_names(prepared), weights, strict=True)]
-    table = prepared.sparkSession.createDataFrame(rows, "feature string, importance double")
+    table = literal_table(prepared.sparkSession, rows, ["feature", "importance"])
     ordered = table.orderBy(F.desc("importance"), "feature")
     return ordered if top is None else ordered.limit(top)
 

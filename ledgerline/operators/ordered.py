@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELLS = 512
+CELLS = 2048
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -26,7 +26,7 @@ def _cell_edges(counts: DataFrame, value: str, cells: int) -> list[float]:
     """Approximate cut points, a bounded list; results do not depend on them."""
     shares = [i / cells for i in range(1, cells)]
     cuts = counts.approxQuantile(value, shares, 1 / (4 * cells))
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+    return [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
 
 
 def running_counts(
@@ -37,7 +37,8 @@ def running_counts(
 
     ``through`` sums a measure over all values up to and including the row's
     value within its ``by`` group; ``total`` sums it over the group. ``by``
-    columns must not be NULL.
+    columns must not be NULL. One task orders one cell, so ``cells`` should
+    grow with the number of distinct values (2,048 suit several billions).
     """
     counts = counts.withColumn("_at", F.col(value).cast("double"))
     edges = _cell_edges(counts, "_at", cells)

@@ -98,15 +98,14 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.02) -> DataFrame:
+def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, log_size: int = 14) -> DataFrame:
     """Sketch-based distinct counts: one pass, no shuffle of values."""
+    def distinct(c):
+        sketch = F.hll_sketch_agg(F.col(c).cast("string"), F.lit(log_size))
+        return F.hll_sketch_estimate(sketch) + F.max(F.col(c).isNull().cast("int"))
+
     return _one_row_per_column(
-        df, columns or df.columns,
-        {
-            "n_distinct": lambda c: F.approx_count_distinct(c, rsd)
-            + F.max(F.col(c).isNull().cast("int"))
-        },
-        {"n_distinct": "bigint"},
+        df, columns or df.columns, {"n_distinct": distinct}, {"n_distinct": "bigint"}
     )
 
 

@@ -239,6 +239,14 @@ def _describe() -> str:
             + ') AS t("column", "count", mean, stddev, min, max)')
 
 
+def _duplicates(copies: int) -> str:
+    return f"""
+, d AS (SELECT DISTINCT {_list(_RAW_COLUMNS)} FROM campaign),
+t AS (SELECT {copies} * count(*) AS total_rows FROM campaign),
+u AS (SELECT count(*) AS distinct_rows FROM d)
+SELECT total_rows, distinct_rows, total_rows - distinct_rows AS duplicates FROM t, u"""
+
+
 def _exact_sample(n: int, columns: str, where: str = "true") -> str:
     return (f"SELECT * EXCLUDE (h) FROM (SELECT {columns}, {_hash()} AS h FROM bank"
             f" ORDER BY h, row_id LIMIT {n}) WHERE {where}")
@@ -279,9 +287,8 @@ def build() -> dict[str, str]:
         "clean_full": f"SELECT {_list(clean_with_key)} FROM bank",
         "clean_fill_missing": "SELECT row_id, " + ", ".join(
             f"coalesce({c}, 'missing') AS {c}" for c in schemas.CATEGORICAL_FEATURES) + " FROM bank",
-        "prj_clip": "SELECT row_id, CAST(greatest(least(balance, 20000), -2000) AS DOUBLE) AS"
-                    " balance_clipped, CAST(greatest(least(duration, 1500), 0) AS DOUBLE) AS"
-                    " duration_clipped FROM bank",
+        "prj_clip": "SELECT row_id, greatest(least(balance, 20000), -2000) AS balance_clipped,"
+                    " greatest(least(duration, 1500), 0) AS duration_clipped FROM bank",
         "feat_class_weight": "SELECT row_id, y, round(CASE WHEN y = 1 THEN"
                              " (SELECT (1 - avg(y)) / avg(y) FROM bank) ELSE 1 END, 8) AS weight FROM bank",
         # reports
@@ -315,12 +322,8 @@ def build() -> dict[str, str]:
                              " AS rate_pct FROM bank GROUP BY 1",
         # profiles
         "prof_shape": f"SELECT count(*) AS n_rows, {len(_RAW_COLUMNS)} AS n_columns FROM campaign",
-        "prof_duplicates": f"SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT"
-                           f" {_list(_RAW_COLUMNS)} FROM campaign)) AS distinct_rows,"
-                           " total_rows - distinct_rows AS duplicates FROM campaign",
-        "prof_duplicates_union": f"SELECT 3 * count(*) AS total_rows, (SELECT count(*) FROM (SELECT"
-                                 f" DISTINCT {_list(_RAW_COLUMNS)} FROM campaign)) AS distinct_rows,"
-                                 " total_rows - distinct_rows AS duplicates FROM campaign",
+        "prof_duplicates": _duplicates(1),
+        "prof_duplicates_union": _duplicates(3),
         "prof_null_summary": _per_column(clean_with_key, lambda c: (
             f"SELECT '{c}' AS \"column\", count(*) - count({_q(c)}) AS n_null FROM bank")),
         "prof_sentinel_rate": _per_column([*schemas.NULLABLE_CATEGORIES, "pdays"], lambda c: (

@@ -381,10 +381,13 @@ def txn_job_rollup(spark, folder):
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table read as a stream of files."""
+    """The event table read as a stream of files.
+
+    The braces make the path a glob, which may name one file or a folder of files.
+    """
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return standin.as_transactions(stream.parquet(folder))
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/{{events}}.parquet")
+    return standin.as_transactions(stream)
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
@@ -407,7 +410,7 @@ def stream_complete(spark, folder):
     _, out, state = stream_paths(spark, "complete")
     result = T.latest_first(windows_of(event_stream(stream_session(spark), folder)))
     runner.run_available(runner.to_versions(result, out, state, "complete"))
-    versions = runner.read_versions(spark, out, result.schema.add("batch_id", "bigint"))
+    versions = runner.read_versions(spark, out, result.schema)
     return T.flatten(runner.last_version(versions))
 
 
@@ -417,7 +420,7 @@ def stream_update(spark, folder):
     _, out, state = stream_paths(spark, "update")
     result = T.flatten(windows_of(event_stream(stream_session(spark), folder)))
     runner.run_available(runner.to_versions(result, out, state, "update"))
-    versions = runner.read_versions(spark, out, result.schema.add("batch_id", "bigint"))
+    versions = runner.read_versions(spark, out, result.schema)
     return runner.newest_per_key(versions, WINDOWS[:3]).select(*WINDOWS)
 
 
@@ -454,7 +457,7 @@ def _arriving(spark, folder, name, late, mode):
     runner.run_arrivals(stream_session(spark), arrivals(spark, folder, late), incoming, attach)
     if mode == "append":
         return spark.read.schema(result_schema).parquet(out)
-    versions = runner.read_versions(spark, out, result_schema.add("batch_id", "bigint"))
+    versions = runner.read_versions(spark, out, result_schema)
     return runner.last_version(versions)
 
 

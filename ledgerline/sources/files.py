@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -51,5 +52,10 @@ def export_report(report: DataFrame, path: str) -> None:
 
 
 def literal_table(spark: SparkSession, rows, columns) -> DataFrame:
-    """Small table from Python tuples."""
-    return spark.createDataFrame(list(rows), list(columns))
+    """Small table from Python tuples.
+
+    Handed over as Arrow it becomes a local relation, whose size the optimizer
+    knows when it picks a join strategy.
+    """
+    values = [pa.array(list(column)) for column in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.table(values, names=list(columns)))

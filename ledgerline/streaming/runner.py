@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.sources.files import stream_transactions, write_transactions
 
@@ -52,7 +52,9 @@ def to_versions(stream: DataFrame, path: str, checkpoint: str, mode: str) -> Dat
 
 
 def read_versions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    """All folders written by ``to_versions`` with their ``batch_id``."""
+    whole = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(whole).parquet(path)
 
 
 def last_version(versions: DataFrame) -> DataFrame:
