@@ -6,7 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-HASH_BITS = 60
+
+def quoted(name: str) -> str:
+    """Column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value) -> str:
+    """Number, text or NULL as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return repr(value)
 
 
 def null_token(column: str, token: str) -> Column:
@@ -54,11 +67,16 @@ def percent(column: str, digits: int = 2) -> Column:
 
 
 def key_hash(key: str | Column, seed: int) -> Column:
-    """Seeded uniform integer in [0, 2**60) that depends on the key alone.
+    """Seeded uniform 32-digit hex text that depends on the key alone.
 
     A row keeps its value when a lost task is computed again and under any
-    file layout, which ``rand(seed)`` does not offer.
+    file layout, which ``rand(seed)`` does not offer. Texts of equal length
+    compare like the numbers they stand for.
     """
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
+
+
+def hash_point(share: float) -> str:
+    """The hash text below which a ``share`` of all rows lies (0 <= share < 1)."""
+    return f"{int(share * 2**60):015x}"

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELLS = 2048
+CELLS = 512
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -38,7 +38,7 @@ def running_counts(
     ``through`` sums a measure over all values up to and including the row's
     value within its ``by`` group; ``total`` sums it over the group. ``by``
     columns must not be NULL. One task orders one cell, so ``cells`` should
-    grow with the number of distinct values (2,048 suit several billions).
+    grow with the number of distinct values (512 suit a few billions).
     """
     counts = counts.withColumn("_at", F.col(value).cast("double"))
     edges = _cell_edges(counts, "_at", cells)

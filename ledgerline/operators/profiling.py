@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerline.functions import columns as C
 from ledgerline.operators import ordered
 
 
 def _one_row_per_column(
-    df: DataFrame, columns: Sequence[str], cells: dict[str, Column | None], kinds: dict[str, str]
+    df: DataFrame, columns: Sequence[str], cells: dict[str, tuple[str, Callable[[str], str]]]
 ) -> DataFrame:
-    """Turn a table of named aggregates per column into one row per column.
+    """Turn aggregates of many columns into one row per column.
 
-    ``cells`` maps an output name to a function of the column name. All
-    aggregates run in one job; the single result row is then unfolded.
+    ``cells`` maps an output name to its type and to the SQL of the aggregate
+    for a (quoted) column. All aggregates run in one job; the single result
+    row is then unfolded. SQL text keeps the plan quick to build when wide.
     """
-    aggregates = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[make(c).cast(kinds[name]).alias(name) for name, make in cells.items()],
-        ).alias(f"c{i}")
-        for i, c in enumerate(columns)
-    ]
-    row = df.agg(*aggregates)
-    return row.select(F.inline(F.array(*[f"c{i}" for i in range(len(columns))])))
+    def row(c):
+        values = [
+            f"CAST({make(C.quoted(c))} AS {kind}) AS {C.quoted(name)}"
+            for name, (kind, make) in cells.items()
+        ]
+        return f"struct({C.literal(c)} AS `column`, {', '.join(values)})"
+
+    folded = df.agg(*[F.expr(row(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    return folded.selectExpr(f"inline(array({', '.join(folded.columns)}))")
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -47,41 +49,37 @@ def duplicates(df: DataFrame) -> DataFrame:
 
 def null_summary(df: DataFrame) -> DataFrame:
     return _one_row_per_column(
-        df, df.columns, {"n_null": lambda c: F.count_if(F.col(c).isNull())}, {"n_null": "bigint"}
+        df, df.columns, {"n_null": ("bigint", lambda c: f"count_if({c} IS NULL)")}
     )
 
 
 def sentinel_rates(df: DataFrame, sentinels: dict[str, object]) -> DataFrame:
     """How often each column holds its 'missing' code, as count and percent."""
+    codes = {C.quoted(c): C.literal(code) for c, code in sentinels.items()}
+
     def hits(c):
-        return F.count_if(F.col(c) == F.lit(sentinels[c]))
+        return f"count_if({c} = {codes[c]})"
 
-    return _one_row_per_column(
-        df, list(sentinels),
-        {
-            "n_sentinel": hits,
-            "pct": lambda c: F.round(100.0 * hits(c) / F.nullif(F.count(F.lit(1)), F.lit(0)), 2),
-        },
-        {"n_sentinel": "bigint", "pct": "double"},
-    )
+    return _one_row_per_column(df, list(sentinels), {
+        "n_sentinel": ("bigint", hits),
+        "pct": ("double", lambda c: f"round(100.0D * {hits(c)} / nullif(count(*), 0), 2)"),
+    })
 
 
 def describe(df: DataFrame, numeric: Sequence[str], digits: int = 6) -> DataFrame:
     """Count, mean, sample standard deviation, min and max per column."""
-    def only_numeric(make):
-        return lambda c: F.round(make(c), digits) if c in numeric else F.lit(None)
+    numbers = {C.quoted(c) for c in numeric}
 
-    return _one_row_per_column(
-        df, df.columns,
-        {
-            "count": F.count,
-            "mean": only_numeric(F.avg),
-            "stddev": only_numeric(F.stddev_samp),
-            "min": F.min,
-            "max": F.max,
-        },
-        {"count": "bigint", "mean": "double", "stddev": "double", "min": "string", "max": "string"},
-    )
+    def rounded(function):
+        return lambda c: f"round({function}({c}), {digits})" if c in numbers else "NULL"
+
+    return _one_row_per_column(df, df.columns, {
+        "count": ("bigint", lambda c: f"count({c})"),
+        "mean": ("double", rounded("avg")),
+        "stddev": ("double", rounded("stddev_samp")),
+        "min": ("string", lambda c: f"min({c})"),
+        "max": ("string", lambda c: f"max({c})"),
+    })
 
 
 def _distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,12 +99,10 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, log_size: int = 14) -> DataFrame:
     """Sketch-based distinct counts: one pass, no shuffle of values."""
     def distinct(c):
-        sketch = F.hll_sketch_agg(F.col(c).cast("string"), F.lit(log_size))
-        return F.hll_sketch_estimate(sketch) + F.max(F.col(c).isNull().cast("int"))
+        sketch = f"hll_sketch_agg(CAST({c} AS STRING), {log_size})"
+        return f"hll_sketch_estimate({sketch}) + max(CAST({c} IS NULL AS INT))"
 
-    return _one_row_per_column(
-        df, columns or df.columns, {"n_distinct": distinct}, {"n_distinct": "bigint"}
-    )
+    return _one_row_per_column(df, columns or df.columns, {"n_distinct": ("bigint", distinct)})
 
 
 def value_samples(df: DataFrame, columns: Sequence[str] | None = None, per_column: int = 6) -> DataFrame:
@@ -134,11 +130,10 @@ def quantiles_approx(
 ) -> DataFrame:
     """Sketched quantiles: one pass with a small mergeable buffer."""
     def at(share):
-        return lambda c: F.percentile_approx(c, share, accuracy)
+        return lambda c: f"percentile_approx({c}, {share}D, {accuracy})"
 
     return _one_row_per_column(
-        df, columns, {name: at(share) for name, share in shares.items()},
-        dict.fromkeys(shares, "double"),
+        df, columns, {name: ("double", at(share)) for name, share in shares.items()}
     )
 
 

@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline import schemas
-from ledgerline.functions.columns import HASH_BITS, key_hash
+from ledgerline.functions.columns import hash_point, key_hash
 
-CELL_BITS = 20
+CELL_DIGITS = 5
 
 
 def _position(key: str, seed: int) -> Column:
@@ -22,12 +22,12 @@ def _cutoffs(
 ) -> DataFrame:
     """Position of the last row to keep per group: exactly ``want(total)`` rows lie up to it.
 
-    Hashes are counted in 2**20 cells, which names the cell holding the cut
+    Hashes are counted in 16**5 cells, which names the cell holding the cut
     and how many of its rows are still wanted. Only that cell, a millionth of
     the group, is ordered row by row.
     """
     keyed = df.select(*by, _position(key, seed).alias("_at")).withColumn(
-        "_cell", F.shiftright("_at.h", HASH_BITS - CELL_BITS).cast("int")
+        "_cell", F.substring("_at.h", 1, CELL_DIGITS)
     )
     group = Window.partitionBy(*by)
     cells = keyed.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
@@ -56,14 +56,14 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = schemas.SEED) -> D
 
 def fraction_sample(df: DataFrame, fraction: float, key: str, seed: int = schemas.SEED) -> DataFrame:
     """Each row kept with the given chance: a filter, with no shuffle."""
-    return df.where(key_hash(key, seed) < F.lit(int(fraction * 2**HASH_BITS)))
+    return df.where(key_hash(key, seed) < hash_point(fraction))
 
 
 def random_split(
     df: DataFrame, fraction: float, key: str, seed: int = schemas.SEED
 ) -> tuple[DataFrame, DataFrame]:
     """Independent row-wise split; a row's side never changes on recomputation."""
-    chosen = key_hash(key, seed) < F.lit(int(fraction * 2**HASH_BITS))
+    chosen = key_hash(key, seed) < hash_point(fraction)
     return df.where(chosen), df.where(~chosen)
 
 
@@ -89,4 +89,6 @@ def stratified_split(
 
 def folds(df: DataFrame, k: int, key: str, column: str, seed: int = schemas.SEED) -> DataFrame:
     """Number every row with a fold for cross-validation."""
-    return df.withColumn(column, F.pmod(key_hash(key, seed + 1), F.lit(k)).cast("int"))
+    place = key_hash(key, seed + 1)
+    passed = [(place >= hash_point(i / k)).cast("int") for i in range(1, k)]
+    return df.withColumn(column, sum(passed, F.lit(0)))

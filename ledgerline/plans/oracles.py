@@ -53,7 +53,7 @@ def _per_column(columns, make) -> str:
 # --- building blocks ---------------------------------------------------------
 
 def _hash(seed: int = schemas.SEED, key: str = "row_id") -> str:
-    return f"('0x' || substr(md5('{seed}:' || {key}), 1, 15))::BIGINT"
+    return f"md5('{seed}:' || {key})"
 
 
 def _histogram(column: str, bins: int, low=None, high=None) -> str:
@@ -380,8 +380,8 @@ def build() -> dict[str, str]:
         "sample_exact": _exact_sample(800, "row_id, age, job, y"),
         "sample_pairplot": _exact_sample(800, "row_id, age, balance, duration, campaign, y"),
         "sample_scatter": _exact_sample(1500, "row_id, campaign, duration, y", "duration < 1500"),
-        "sample_fraction": f"SELECT row_id, age, y FROM bank WHERE {_hash()} < {int(0.1 * 2**60)}",
-        "split_random": split.format(f"{_hash()} < {int(0.8 * 2**60)}", "bank"),
+        "sample_fraction": f"SELECT row_id, age, y FROM bank WHERE {_hash()} < '{int(0.1 * 2**60):015x}'",
+        "split_random": split.format(f"{_hash()} < '{int(0.8 * 2**60):015x}'", "bank"),
         "split_stratified": split.format(
             "place <= floor(0.8 * n + 0.5)",
             f"(SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {_hash()}, row_id) AS place,"
