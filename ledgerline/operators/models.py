@@ -12,9 +12,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import evaluation, features, sampling
+from ledgerline.operators import evaluation, features
 from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sources.files import literal_table
+from ledgerline.sources.files import literal_table, store
 
 # Baseline parameters and tuning grids.
 LR_BASE = {"maxIter": 50}
@@ -25,7 +25,6 @@ RF_GRID = {"numTrees": (50, 150), "maxDepth": (6, 10)}
 GBT_GRID = {"maxDepth": (4, 6), "maxIter": (50, 100)}
 FOLDS = 3
 PARALLELISM = 2
-FOLD_COLUMN = "fold"
 
 
 @dataclass(frozen=True)
@@ -80,14 +79,14 @@ def param_grid(classifier, grid: Mapping[str, tuple]) -> list:
 
 
 def tune(
-    candidate: Candidate, train: DataFrame, key: str, label: str = "y",
+    candidate: Candidate, train: DataFrame, label: str = "y",
     grid: Mapping[str, tuple] | None = None, num_folds: int = FOLDS,
     parallelism: int = PARALLELISM,
 ) -> CrossValidatorModel:
     """Cross-validated grid search on ROC-AUC, preparation refitted per fold.
 
-    Folds come from the row key, so a recomputed partition puts its rows back
-    in the same folds.
+    Folds are drawn per partition from a seed, so ``train`` should be a stored
+    table: its partitions hold the same rows whenever one is read again.
     """
     ensure_checkpoint_dir(train.sparkSession)
     classifier = candidate.classifier(label)
@@ -97,10 +96,9 @@ def tune(
         evaluator=BinaryClassificationEvaluator(
             labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
         ),
-        numFolds=num_folds, parallelism=parallelism, seed=schemas.SEED, foldCol=FOLD_COLUMN,
+        numFolds=num_folds, parallelism=parallelism, seed=schemas.SEED,
     )
-    data = sampling.folds(training_input(candidate, train, label), num_folds, key, FOLD_COLUMN)
-    return search.fit(data)
+    return search.fit(training_input(candidate, train, label))
 
 
 def grid_table(tuned: CrossValidatorModel, df: DataFrame) -> DataFrame:
@@ -117,6 +115,17 @@ def predict(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFr
     return evaluation.with_score(model.transform(df))
 
 
+def stored_scores(
+    model: PipelineModel | CrossValidatorModel, df: DataFrame, path: str, *keep: str, label: str = "y"
+) -> DataFrame:
+    """Score a table once and keep the columns that metrics need.
+
+    Every metric is a pass over its input; from the stored scores none of them
+    runs the model again.
+    """
+    return store(predict(model, df).select(*keep, label, "prediction", "score"), path)
+
+
 def comparison(scored: Mapping[str, DataFrame], label: str = "y") -> DataFrame:
     """One metrics row per model."""
     rows = [

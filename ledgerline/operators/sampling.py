@@ -85,10 +85,3 @@ def stratified_split(
     ).select(*df.columns, "_first")
     first = marked.where("_first").drop("_first")
     return first, marked.where(~F.col("_first")).drop("_first")
-
-
-def folds(df: DataFrame, k: int, key: str, column: str, seed: int = schemas.SEED) -> DataFrame:
-    """Number every row with a fold for cross-validation."""
-    place = key_hash(key, seed + 1)
-    passed = [(place >= hash_point(i / k)).cast("int") for i in range(1, k)]
-    return df.withColumn(column, sum(passed, F.lit(0)))

@@ -14,7 +14,7 @@ from ledgerline.operators import (
     joins as J, layout as L, models as M, profiling as P, sampling, segments as S,
 )
 from ledgerline.plans import reports as R
-from ledgerline.plans.training import model_table
+from ledgerline.plans.training import model_table, stored_split
 from ledgerline.session import ensure_checkpoint_dir, fresh_dir, stream_session
 from ledgerline.sources import files, standin, warehouse as W
 from ledgerline.streaming import runner, windows as T
@@ -552,7 +552,7 @@ TRIAL_TREES = {"LogReg": {}, "RandomForest": {"numTrees": 30, "maxDepth": 6},
 
 
 def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return sampling.random_split(model_table(df, KEY), 0.8, KEY)
+    return stored_split(df, KEY)
 
 
 def fitted(name: str, train: DataFrame):
@@ -575,8 +575,7 @@ on_clients("ml_gbt_predictions", _predictions("GBT"))
 
 def _cv_grid(df: DataFrame) -> DataFrame:
     train, _ = split_model_table(df)
-    with L.cached(train) as held:
-        tuned = M.tune(M.CANDIDATES["LogReg"], held, KEY, grid={"regParam": (0.0, 0.1)})
+    tuned = M.tune(M.CANDIDATES["LogReg"], train, grid={"regParam": (0.0, 0.1)})
     return rounded(M.grid_table(tuned, df), 6, "roc_auc")
 
 
@@ -585,11 +584,11 @@ on_clients("ml_cv_grid", _cv_grid)
 
 def _comparison(df: DataFrame) -> DataFrame:
     train, test = split_model_table(df)
-    with L.cached(train) as held:
-        scored = {
-            name: M.predict(M.fit(c, held, **TRIAL_TREES[name]), test)
-            for name, c in M.CANDIDATES.items()
-        }
+    folder = fresh_dir(df.sparkSession, "scores")
+    scored = {
+        name: M.stored_scores(fitted(name, train), test, f"{folder}/{name}")
+        for name in M.CANDIDATES
+    }
     table = M.comparison(scored)
     return rounded(table, 6, *[c for c in table.columns if c != "model"])
 

@@ -72,6 +72,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     context and leaves the caller's settings alone.
     """
     sibling = spark.newSession()
-    sibling.conf.set("spark.sql.session.timeZone", "UTC")
+    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        sibling.conf.set(key, spark.conf.get(key))
     sibling.conf.set("spark.sql.shuffle.partitions", str(max(4, spark.sparkContext.defaultParallelism)))
     return sibling

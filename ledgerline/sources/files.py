@@ -46,6 +46,12 @@ def write_transactions(df: DataFrame, path: str, mode: str = "append") -> None:
     ).json(path)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table once and go on from the files: cuts lineage, survives lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def export_report(report: DataFrame, path: str) -> None:
     """One CSV file for one aggregated report (a few rows per group)."""
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -54,11 +54,6 @@ def test_stratified_split_of_a_hot_class(spark):
     assert dict(values(train.groupBy("y").count())) == {0: 2320, 1: 80}
 
 
-def test_folds(people):
-    sizes = [r["count"] for r in sampling.folds(people, 3, "id", "fold").groupBy("fold").count().collect()]
-    assert len(sizes) == 3 and min(sizes) > 1500
-
-
 def test_fraction_sample_needs_no_shuffle(people):
     sample = sampling.fraction_sample(people, 0.1, "id")
     assert 400 < sample.count() < 600
