@@ -277,6 +277,8 @@ def build() -> dict[str, str]:
                               " AS total_duration FROM bank WHERE month IN ('mar', 'sep') GROUP BY month",
         "wh_show_partitions": "SELECT DISTINCT month FROM bank",
         "wh_report_job": by_job,
+        "wh_sql_report": f"SELECT \"default\", age_bucket, {_N}, {_RATE} FROM bank WHERE month IN"
+                         " ('may', 'jun', 'jul') AND job IS NOT NULL GROUP BY \"default\", age_bucket",
         # cleaning
         "clean_sentinel_null": "SELECT row_id, job, education, contact, poutcome FROM bank",
         "clean_pdays": "SELECT row_id, pdays, never_contacted_before FROM bank",
@@ -341,6 +343,8 @@ def build() -> dict[str, str]:
         "prof_positive_rate": "SELECT round(avg(y), 8) AS positive_rate FROM bank",
         # distributions and tests
         "dist_value_counts": "SELECT job, count(*) AS count FROM bank WHERE job IS NOT NULL GROUP BY job",
+        "dist_value_counts_marital": "SELECT marital, count(*) AS count FROM bank GROUP BY marital",
+        "dist_value_counts_y": "SELECT y, count(*) AS count FROM bank GROUP BY y",
         "dist_share_marital": "SELECT marital, count(*) AS count,"
                               " round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS share_pct"
                               " FROM bank WHERE marital IS NOT NULL GROUP BY marital",

@@ -122,6 +122,19 @@ def wh_report_job(spark, folder):
     return R.REPORTS["job"].run(spark.table(registered(spark, folder)))
 
 
+@query("wh_sql_report")
+def wh_sql_report(spark, folder):
+    """A report as plain SQL text over the registered table."""
+    return spark.sql(f"""
+        SELECT `default`, age_bucket, count(*) AS n_clients,
+               round(100.0 * avg(y), 2) AS subscription_rate_pct
+        FROM {registered(spark, folder)}
+        WHERE month IN ('may', 'jun', 'jul') AND job IS NOT NULL
+        GROUP BY `default`, age_bucket
+        ORDER BY subscription_rate_pct DESC
+    """)
+
+
 # --- Cleaning ----------------------------------------------------------------
 
 on_clients("clean_sentinel_null", lambda df: df.select(KEY, *schemas.NULLABLE_CATEGORIES))
@@ -200,6 +213,8 @@ on_clients("prof_positive_rate", lambda df: rounded(P.positive_rate(df, "y"), 8,
 # --- Distributions and tests -------------------------------------------------
 
 on_clients("dist_value_counts", lambda df: D.value_counts(df, "job"))
+on_clients("dist_value_counts_marital", lambda df: D.value_counts(df, "marital"))
+on_clients("dist_value_counts_y", lambda df: D.value_counts(df, "y"))
 on_clients("dist_share_marital", lambda df: D.shares(df, "marital"))
 
 
@@ -545,10 +560,10 @@ on_clients(
 
 
 # --- Models ------------------------------------------------------------------
-# The tree sizes here are for trial runs; the training job uses the full grids.
+# Boosting runs one job per round, so the registry boosts fewer rounds; the
+# training job uses the full parameters and grids.
 
-TRIAL_TREES = {"LogReg": {}, "RandomForest": {"numTrees": 30, "maxDepth": 6},
-               "GBT": {"maxIter": 15, "maxDepth": 4}}
+TRIAL = {"LogReg": {}, "RandomForest": {}, "GBT": {"maxIter": 20}}
 
 
 def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -557,7 +572,7 @@ def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fitted(name: str, train: DataFrame):
     with L.cached(train) as held:
-        return M.fit(M.CANDIDATES[name], held, **TRIAL_TREES[name])
+        return M.fit(M.CANDIDATES[name], held, **TRIAL[name])
 
 
 def _predictions(name: str):
