@@ -147,7 +147,7 @@ def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataF
     centred = numbers.withColumn("_m", means.scalar()).select(
         *[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in columns]
     )
-    missing = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
+    missing = sum(F.col(c).isNull().cast("bigint") * 2**i for i, c in enumerate(columns))
     # Wide expressions are written as SQL text: one call each, not thousands.
     k = range(len(columns))
     products = [

@@ -23,9 +23,12 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def _cell_edges(counts: DataFrame, value: str, cells: int) -> list[float]:
-    """Approximate cut points, a bounded list; results do not depend on them."""
+    """Approximate cut points, a bounded list from a part of the values.
+
+    They only balance the work: any cut points give the same results.
+    """
     shares = [i / cells for i in range(1, cells)]
-    cuts = counts.approxQuantile(value, shares, 1 / (4 * cells))
+    cuts = counts.sample(0.1, seed=1).approxQuantile(value, shares, 1 / (4 * cells))
     return [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
 
 

@@ -1,4 +1,4 @@
-"""Table profiles. Each profile reads the table once, whatever its width."""
+"""Table profiles. Each profile reads every column once, whatever the width."""
 
 from __future__ import annotations
 
@@ -67,19 +67,31 @@ def sentinel_rates(df: DataFrame, sentinels: dict[str, object]) -> DataFrame:
 
 
 def describe(df: DataFrame, numeric: Sequence[str], digits: int = 6) -> DataFrame:
-    """Count, mean, sample standard deviation, min and max per column."""
-    numbers = {C.quoted(c) for c in numeric}
-
-    def rounded(function):
-        return lambda c: f"round({function}({c}), {digits})" if c in numbers else "NULL"
-
-    return _one_row_per_column(df, df.columns, {
-        "count": ("bigint", lambda c: f"count({c})"),
-        "mean": ("double", rounded("avg")),
-        "stddev": ("double", rounded("stddev_samp")),
-        "min": ("string", lambda c: f"min({c})"),
-        "max": ("string", lambda c: f"max({c})"),
-    })
+    """Count, mean, sample standard deviation, min and max per column.
+
+    Numbers and texts are two aggregates over disjoint columns: text extremes
+    would keep the numeric part out of the fast hash aggregate.
+    """
+    def profile(columns, mean, stddev):
+        return _one_row_per_column(df, columns, {
+            "count": ("bigint", lambda c: f"count({c})"),
+            "mean": ("double", mean),
+            "stddev": ("double", stddev),
+            "min": ("string", lambda c: f"min({c})"),
+            "max": ("string", lambda c: f"max({c})"),
+        })
+
+    numbers = [c for c in df.columns if c in numeric]
+    texts = [c for c in df.columns if c not in numeric]
+    parts = []
+    if numbers:
+        parts.append(profile(
+            numbers,
+            lambda c: f"round(avg({c}), {digits})", lambda c: f"round(stddev_samp({c}), {digits})",
+        ))
+    if texts:
+        parts.append(profile(texts, lambda c: "NULL", lambda c: "NULL"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -96,11 +108,10 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, log_size: int = 14) -> DataFrame:
+def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05) -> DataFrame:
     """Sketch-based distinct counts: one pass, no shuffle of values."""
     def distinct(c):
-        sketch = f"hll_sketch_agg(CAST({c} AS STRING), {log_size})"
-        return f"hll_sketch_estimate({sketch}) + max(CAST({c} IS NULL AS INT))"
+        return f"approx_count_distinct({c}, {rsd}D) + max(CAST({c} IS NULL AS INT))"
 
     return _one_row_per_column(df, columns or df.columns, {"n_distinct": ("bigint", distinct)})
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerline import schemas
 from ledgerline.functions.columns import hash_point, key_hash
 
-CELL_DIGITS = 5
+CELL_DIGITS = 4
 
 
 def _position(key: str, seed: int) -> Column:
@@ -22,8 +22,8 @@ def _cutoffs(
 ) -> DataFrame:
     """Position of the last row to keep per group: exactly ``want(total)`` rows lie up to it.
 
-    Hashes are counted in 16**5 cells, which names the cell holding the cut
-    and how many of its rows are still wanted. Only that cell, a millionth of
+    Hashes are counted in 16**4 cells, which names the cell holding the cut
+    and how many of its rows are still wanted. Only that cell, a 65,536th of
     the group, is ordered row by row.
     """
     keyed = df.select(*by, _position(key, seed).alias("_at")).withColumn(
