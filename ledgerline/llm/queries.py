@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, packing, secret_scan, sharding, shingle_join, toxicity,
-    url_filter,
+    byte_bpe, embedding_dedup, exact_dedup, packing, secret_scan, sharding, shingle_join, suffix_dedup,
+    toxicity, url_filter,
 )
 from ledgerline.llm.common import documents, whole_text
 
@@ -77,6 +77,11 @@ def op7(spark, folder):
         F.col("rejected").alias("toxic"), (~F.col("rejected")).alias("kept"))
 
 
+@query("op8_bucket_refinement")
+def op8(spark, folder):
+    return suffix_dedup.removal_digests(suffix_dedup.remove_repeats(documents(spark, folder)))
+
+
 @query("op9_tiered_packing")
 def op9(spark, folder):
     return packing.pack_documents(documents(spark, folder), public_tokenizers.path(WORD_DEFINITION))

@@ -21,14 +21,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerline.llm.common import ship, whole_text
 
 #: Labelled rows used to fit, at most (in expectation); drawn by a hash of the id.
-MAX_LABELLED = 8_000
+MAX_LABELLED = 5_000
 #: Words a model may weigh: those in most sampled rows, in at least MIN_ROWS.
 MAX_WORDS = 50_000
 MIN_ROWS = 5
 FOLDS = 3
-#: A document is rejected from this probability of the last category on.
-THRESHOLD = 0.5
-ROUNDS = 200
+ROUNDS = 100
 RIDGE = 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -70,6 +68,7 @@ class Chain(NamedTuple):
     categories: tuple[str, ...]
     vocabulary: dict[str, int]
     models: tuple[Linear, ...]
+    threshold: float
 
 
 def words_of(text: str) -> set[str]:
@@ -112,6 +111,16 @@ def predict_rows(model: Linear, rows: Rows, earlier: np.ndarray) -> np.ndarray:
     return _sigmoid(total / norms + earlier @ model.earlier + model.bias)
 
 
+def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+    """The cut with the best F1 on out-of-fold probabilities, half way to the next lower one."""
+    order = np.argsort(-scores, kind="stable")
+    hits = np.cumsum(labels[order])
+    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    at = int(np.argmax(f1))
+    below = scores[order[at + 1]] if at + 1 < len(order) else 0.0
+    return float((scores[order[at]] + below) / 2)
+
+
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, chain: Sequence[Category] = CHAIN, id_col: str = "doc_id",
     text_col: str = "text", max_labelled: int = MAX_LABELLED,
@@ -160,12 +169,12 @@ def fit_chain(training: DataFrame, chain: Sequence[Category] = CHAIN) -> Chain |
             return None
         models.append(fit_linear(rows, y, earlier, len(kept)))
         unseen = np.zeros(rows.count)
-        for k in range(FOLDS if i + 1 < len(chain) else 0):
+        for k in range(FOLDS):
             inside = fold != k
             part = fit_linear(rows.only(inside), y[inside], earlier[inside], len(kept))
             unseen[~inside] = predict_rows(part, rows.only(~inside), earlier[~inside])
         earlier = np.column_stack([earlier, unseen])
-    return Chain(tuple(c.name for c in chain), vocabulary, tuple(models))
+    return Chain(tuple(c.name for c in chain), vocabulary, tuple(models), best_threshold(earlier[:, -1], y))
 
 
 def predict_text(chain: Chain, text: str) -> list[float]:
@@ -181,11 +190,12 @@ def predict_text(chain: Chain, text: str) -> list[float]:
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, chain: Sequence[Category] = CHAIN, id_col: str = "doc_id",
-    text_col: str = "text", threshold: float = THRESHOLD,
+    text_col: str = "text", threshold: float | None = None,
 ) -> DataFrame:
     """All columns of the documents plus ``p_<category>`` in chain order and ``rejected``.
 
-    ``rejected`` says that the last category reaches ``threshold``. NULL and
+    ``rejected`` says that the last category reaches ``threshold``, by default
+    the one that does best on out-of-fold probabilities. NULL and
     empty texts have no words and get the base rate. Without labels of both
     classes in each fold nothing is rejected and probabilities are NULL.
     Repeated rows repeat; no rows in, no rows out; a column of the documents
@@ -212,4 +222,4 @@ def score_toxicity(
 
     fields = [*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]]
     scored = rows.mapInArrow(run, T.StructType(fields))
-    return scored.withColumn("rejected", F.col(names[-1]) >= threshold)
+    return scored.withColumn("rejected", F.col(names[-1]) >= F.lit(fitted.threshold if threshold is None else threshold))
