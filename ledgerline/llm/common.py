@@ -35,10 +35,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(_CLEANUP, "false")
     conf.set(_CLEANUP, "true")
+    path = fresh_dir(df.sparkSession, purpose)
     try:
-        return files.store(df, fresh_dir(df.sparkSession, purpose))
+        table = files.store(df, path)
     finally:
         conf.set(_CLEANUP, before)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def whole_text(column: str = "text") -> Column:

@@ -7,7 +7,9 @@ with one member go. The rest are refined by the bucket of the stretch of text
 that all strings with this anchor span; members that agree there are equal
 throughout, and whatever is known of the first of them holds for the others.
 Only where a bucket holds different stretches, at the ends of a match, are the
-first members refined again, string by string.
+first members refined again in the same way: into blocks of neighbouring
+strings, by the core that these have in common, then by the whole block, and at
+last string by string.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerline.llm.common import ship, stored, whole_text
+from ledgerline.llm.common import discard, ship, stored, whole_text
 
 #: Bytes of a passage, and of the q-gram that names a bucket at first.
 PASSAGE = 100
 QGRAM = 32
+#: Neighbouring passages whose common core is a bucket of its own.
+BLOCK = 18
 #: Rows a task hands over at once.
 _FLUSH = 200_000
 _ROWS_AT_ONCE = 16_384
@@ -73,14 +77,14 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, passage: int = PASSAGE, qgram: int = QGRAM):
-    """(bucket, stretch, first, last) of every anchor.
+    """(bucket, stretch, first, last, place) of every anchor.
 
     ``first`` to ``last`` are the starts of the passages whose leftmost least
-    q-gram is at the anchor; ``bucket`` is its hash, and ``stretch`` that of
+    q-gram is at the anchor's ``place``; ``bucket`` is its hash, and ``stretch`` that of
     all the bytes these passages span. Each passage belongs to one anchor.
     """
     if len(data) < passage:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     letters = _BYTES[data]
     hashes = _qgram_hashes(letters, qgram)
     width = passage - qgram + 1
@@ -105,7 +109,7 @@ def anchors(data: np.ndarray, passage: int = PASSAGE, qgram: int = QGRAM):
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * _powers[: len(data)])])
     stop = last + passage
     spanned = _mix((sums[stop] - sums[first]) * _inverses[first] + (stop - first).astype(np.uint64))
-    return hashes[place].view(np.int64), spanned.view(np.int64), first, last
+    return hashes[place].view(np.int64), spanned.view(np.int64), first, last, place
 
 
 def _again(bucket: np.ndarray, stretch: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -121,30 +125,29 @@ def _bytes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), dtype=np.uint8)
 
 
-def anchor_rows(texts: DataFrame, passage: int, buckets_only: bool) -> DataFrame:
-    """Anchors of all texts: ``h`` (bucket) and, if asked, ``k`` (stretch), key, starts and ``again``."""
+def anchor_rows(texts: DataFrame, passage: int) -> DataFrame:
+    """Anchors of all texts.
+
+    ``h`` is the bucket, ``k`` the stretch, ``lo`` the first passage's start,
+    ``span`` how many more follow, ``back`` how far the anchor is behind
+    ``lo``; ``again`` says that the stretch occurred before in the same text.
+    """
     kinds = [("h", pa.int64()), ("k", pa.int64()), ("key", pa.int64()), ("lo", pa.int32()),
-             ("hi", pa.int32()), ("again", pa.bool_())]
-    kinds = kinds[:1] if buckets_only else kinds
-    names = [name for name, _ in kinds]
+             ("span", pa.int16()), ("back", pa.int16()), ("again", pa.bool_())]
 
     def rows_of(held):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([x[i] for x in held])).cast(kind) for i, (_, kind) in enumerate(kinds)],
-            names)
+        columns = [pa.array(np.concatenate([x[i] for x in held])).cast(kind) for i, (_, kind) in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, [name for name, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                bucket, stretch, first, last = anchors(_bytes_of(text.as_py()), passage)
+                bucket, stretch, first, last, place = anchors(_bytes_of(text.as_py()), passage)
                 if not len(bucket):
                     continue
-                if buckets_only:
-                    held.append((bucket,))
-                else:
-                    keys = np.full(len(bucket), key, dtype=np.int64)
-                    held.append((bucket, stretch, keys, first, last, _again(bucket, stretch, first)))
+                keys = np.full(len(bucket), key, dtype=np.int64)
+                held.append((bucket, stretch, keys, first, last - first, place - first, _again(bucket, stretch, first)))
                 count += len(bucket)
                 if count > _FLUSH:
                     yield rows_of(held)
@@ -152,36 +155,87 @@ def anchor_rows(texts: DataFrame, passage: int, buckets_only: bool) -> DataFrame
         if held:
             yield rows_of(held)
 
-    schema = "h bigint" if buckets_only else "h bigint, k bigint, key bigint, lo int, hi int, again boolean"
-    return texts.select("_key", "_text").mapInArrow(run, schema)
+    return texts.select("_key", "_text").mapInArrow(
+        run, "h bigint, k bigint, key bigint, lo int, span smallint, back smallint, again boolean")
+
+
+def _halves(name: int) -> tuple[int, int]:
+    """A 128-bit name as two signed longs."""
+    return (name >> 64) - (1 << 63), (name & ((1 << 64) - 1)) - (1 << 63)
+
 
+_CORE = "c1 bigint, c2 bigint, e bigint, key bigint, at int, low smallint, high smallint, before binary, after binary"
 
-def passage_rows(texts: DataFrame, ranges: DataFrame, passage: int) -> DataFrame:
-    """(w, key, p, again): every passage that starts in the ranges (``key``, ``lo``, ``hi``)."""
-    listed = ranges.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+
+def core_rows(texts: DataFrame, ranges: DataFrame, passage: int) -> DataFrame:
+    """The passages of the ranges by blocks of ``BLOCK`` neighbours.
+
+    A block's core (``c1``, ``c2``) is what all its passages have in common;
+    ``e`` names what the block has besides. The passages lie ``low``
+    to ``high`` bytes before the anchor at ``at``, and go beyond the core by
+    the ends of ``before`` and the beginnings of ``after``.
+    """
+    listed = ranges.groupBy(F.col("key").alias("_key")).agg(
+        F.collect_list(F.struct("lo", "span", "back")).alias("ranges"))
     joined = texts.join(listed, "_key").select("_key", "_text", "ranges")
+    names = [field.split()[0] for field in _CORE.split(", ")]
+    schema = pa.schema(list(zip(names, [
+        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(),
+        pa.binary(), pa.binary()])))
+
+    def blocks(key, data, ranges):
+        for r in ranges:
+            at, farthest = r["lo"] + r["back"], r["back"]
+            nearest = farthest - r["span"]
+            for begin in range(nearest - nearest % BLOCK, farthest + 1, BLOCK):
+                low, high = max(begin, nearest), min(begin + BLOCK - 1, farthest)
+                start, stop = at - begin, at - begin - BLOCK + 1 + passage
+                c1, c2 = _halves(xxhash.xxh3_128_intdigest(data[start:stop], seed=begin))
+                before, after = data[at - high : start], data[stop : at - low + passage]
+                whole = xxhash.xxh3_64_intdigest(before + after, seed=low * 256 + high) - (1 << 63)
+                yield c1, c2, whole, key, at, low, high, before, after
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = []
             for key, text, ranges in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data = text.as_py().encode()
-                seen: set[bytes] = set()
-                names, places, again = [], [], []
-                for lo, hi in sorted((r["lo"], r["hi"]) for r in ranges.as_py()):
-                    for p in range(lo, hi + 1):
-                        name = xxhash.xxh3_128_digest(data[p : p + passage])
-                        names.append(name)
-                        places.append(p)
-                        again.append(name in seen)
-                        seen.add(name)
-                for at in range(0, len(names), _FLUSH):
-                    part = slice(at, at + _FLUSH)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names[part], pa.binary()), pa.array([key] * len(names[part]), pa.int64()),
-                         pa.array(places[part], pa.int32()), pa.array(again[part], pa.bool_())],
-                        ["w", "key", "p", "again"])
-
-    return joined.mapInArrow(run, "w binary, key bigint, p int, again boolean")
+                held += blocks(key, text.as_py().encode(), ranges.as_py())
+                if len(held) > _FLUSH:
+                    yield _record(held, schema)
+                    held = []
+            if held:
+                yield _record(held, schema)
+
+    return joined.mapInArrow(run, _CORE)
+
+
+def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)], schema=schema)
+
+
+def passage_rows(cores: DataFrame) -> DataFrame:
+    """(w1, w2, key, p): every passage of the blocks, named by core, place and ends."""
+    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("key", pa.int64()), ("p", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = []
+            for c1, c2, _, key, at, low, high, before, after in zip(*[c.to_pylist() for c in batch.columns]):
+                begin = low - low % BLOCK
+                core = c1.to_bytes(8, "little", signed=True) + c2.to_bytes(8, "little", signed=True)
+                for back in range(low, high + 1):
+                    left = before[high - back :]
+                    right = after[: begin + BLOCK - 1 - back]
+                    name = xxhash.xxh3_128_intdigest(core + bytes([back]) + left + right)
+                    held.append((*_halves(name), key, at - back))
+                if len(held) > _FLUSH:
+                    yield _record(held, schema)
+                    held = []
+            if held:
+                yield _record(held, schema)
+
+    return cores.mapInArrow(run, "w1 bigint, w2 bigint, key bigint, p int")
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -198,25 +252,43 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_starts(texts: DataFrame, passage: int) -> DataFrame:
-    """(key, lo, hi): starts of passages that also start earlier."""
-    buckets = anchor_rows(texts, passage, True).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    shared = stored(buckets.where("n > 1").select("h"), "shared-buckets")
-    members = stored(anchor_rows(texts, passage, False).join(shared, "h"), "bucket-members")
+    """Ranges of the starts of passages that also start earlier, by text: ``_key`` and ``starts``."""
+    every = stored(anchor_rows(texts, passage), "anchors")
+    shared = stored(
+        every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "shared-buckets")
+    members = stored(every.join(shared.hint("shuffle_hash"), "h"), "bucket-members")
+    discard(every, shared)
 
     stretches = stored(members.groupBy("h", "k").agg(F.min("key").alias("first")), "stretches")
     mixed = stretches.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    known = stored(
-        members.join(stretches, ["h", "k"]).select(
-            "h", "key", "lo", "hi", (F.col("again") | (F.col("first") < F.col("key"))).alias("repeats")),
-        "refined-members")
-
-    ends = known.where(~F.col("repeats")).join(mixed, "h", "left_semi").select("key", "lo", "hi")
-    singles = stored(passage_rows(texts, ends, passage), "passages")
-    firsts = singles.groupBy("w").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    found = singles.join(firsts.select("w", "first"), "w").where(
-        F.col("again") | (F.col("first") < F.col("key")))
-    return known.where("repeats").select("key", "lo", "hi").unionByName(
-        found.select("key", F.col("p").alias("lo"), F.col("p").alias("hi")))
+    repeats = F.col("again") | (F.col("first") < F.col("key"))
+    judged = stored(members.join(stretches, ["h", "k"]).withColumn("repeats", repeats), "judged-members")
+    discard(members)
+    by_stretch = judged.where("repeats").select("key", "lo", (F.col("lo") + F.col("span")).alias("hi"))
+
+    ends = judged.where("NOT repeats").join(mixed, "h", "left_semi").select("key", "lo", "span", "back")
+    cores = stored(core_rows(texts, ends, passage), "cores")
+    place = F.struct("key", "at")
+    blocks = stored(cores.groupBy("c1", "c2", "e").agg(F.min(place).alias("first")), "blocks")
+    several = blocks.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
+    parts = stored(
+        cores.join(blocks, ["c1", "c2", "e"]).withColumn("repeats", place > F.col("first")), "judged-blocks")
+    discard(cores)
+    by_block = parts.where("repeats").select(
+        "key", (F.col("at") - F.col("high")).alias("lo"), (F.col("at") - F.col("low")).alias("hi"))
+
+    left = parts.where("NOT repeats").join(several, ["c1", "c2"], "left_semi")
+    names = [field.split()[0] for field in _CORE.split(", ")]
+    singles = stored(passage_rows(left.select(*names)), "passages")
+    start = F.struct("key", "p")
+    firsts = singles.groupBy("w1", "w2").agg(F.min(start).alias("first"), F.count(F.lit(1)).alias("n"))
+    by_passage = singles.join(firsts.where("n > 1"), ["w1", "w2"]).where(start > F.col("first")).select(
+        "key", F.col("p").alias("lo"), F.col("p").alias("hi"))
+    found = by_stretch.unionByName(by_block).unionByName(by_passage)
+    starts = stored(found.groupBy(F.col("key").alias("_key")).agg(
+        F.collect_list(F.struct("lo", "hi")).alias("starts")), "starts")
+    discard(stretches, judged, blocks, parts, singles)
+    return starts
 
 
 def covered(size: int, starts: list[tuple[int, int]], passage: int) -> np.ndarray:
@@ -231,9 +303,8 @@ def covered(size: int, starts: list[tuple[int, int]], passage: int) -> np.ndarra
 def _with_starts(docs, id_col, text_col, passage):
     ship(docs.sparkSession)
     texts = _numbered(docs, id_col, text_col)
-    starts = repeated_starts(texts, passage).groupBy(F.col("key").alias("_key")).agg(
-        F.collect_list(F.struct("lo", "hi")).alias("starts"))
-    return texts.join(stored(starts, "starts"), "_key", "left").select("_id", "_text", "starts")
+    starts = repeated_starts(texts, passage)
+    return texts.join(starts, "_key", "left").select("_id", "_text", "starts")
 
 
 def remove_repeats(
