@@ -65,8 +65,10 @@ def exact_dedup(
     hashed = rows.join(F.broadcast(_survivors(profile)), "_bucket", "left").withColumn(
         "_hash", F.when(survives, F.sha2("_text", 256))
     )
-    groups = hashed.where(F.col("_hash").isNotNull()).groupBy("_len", "_hash").agg(
-        F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")
+    groups = stored(
+        hashed.where(F.col("_hash").isNotNull()).groupBy("_len", "_hash").agg(
+            F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")).where("_size > 1"),
+        "exact-groups",
     )
     alone = F.concat(F.lit("alone "), F.xxhash64("_id", "_bit").cast("string"))
     joined = hashed.withColumn("_hash", F.coalesce("_hash", alone)).drop("_text").join(
