@@ -75,7 +75,7 @@ def layout_scenarios(spark) -> dict[str, float]:
     times["join_shuffle"] = typical(
         lambda: L.run_only(J.shuffle_join(big, sectors, "job", ["row_id"])))
     times["join_broadcast"] = typical(
-        lambda: L.run_only(J.broadcast_join(big, sectors, "job", ["row_id"])))
+        lambda: L.run_only(J.broadcast_join(big, sectors, "job")))
     return times
 
 

@@ -78,5 +78,9 @@ def key_hash(key: str | Column, seed: int) -> Column:
 
 
 def hash_point(share: float) -> str:
-    """The hash text below which a ``share`` of all rows lies (0 <= share < 1)."""
+    """The hash text below which a ``share`` of all rows lies; a share of 1 is above every hash."""
+    if not 0 <= share <= 1:
+        raise ValueError(f"share must be from 0 to 1, not {share}")
+    if share == 1:
+        return "g"
     return f"{int(share * 2**60):015x}"

@@ -79,7 +79,8 @@ def density(df: DataFrame, value: str, points: int, by: str | None = None, level
     """Gaussian kernel density on an even grid from the smallest to the largest value.
 
     The bandwidth follows Scott's rule per group. Values are counted first, so
-    the work is distinct values times grid points. ``levels`` lists the values
+    the work is distinct values times grid points. Without spread the density
+    is NULL. ``levels`` lists the values
     of ``by``, which bounds the broadcast side to one row per level.
     """
     keys = [by] if by else []
@@ -101,11 +102,11 @@ def density(df: DataFrame, value: str, points: int, by: str | None = None, level
         counts = counts.withColumn("s", stats.scalar())
     scaled = counts.select(
         *keys, "value", "s",
-        (F.col("n") / (F.col("s.n") * F.col("s.h") * math.sqrt(2 * math.pi))).alias("weight"),
+        (F.col("n") / F.nullif(F.col("s.n") * F.col("s.h") * math.sqrt(2 * math.pi), F.lit(0.0))).alias("weight"),
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
     x = F.col("s.lo") + F.col("point") * ((F.col("s.hi") - F.col("s.lo")) / (points - 1))
-    z = (F.col("x") - F.col("value")) / F.col("s.h")
+    z = (F.col("x") - F.col("value")) / F.nullif(F.col("s.h"), F.lit(0.0))
     return (
         scaled.withColumn("x", x)
         .groupBy(*keys, "point")

@@ -19,9 +19,11 @@ def auc(scored: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
     """Area under the ROC curve, exact, ties counted half.
 
     Each positive beats the negatives that score lower. Rows combine per
-    distinct score first, then negatives are counted cumulatively.
+    distinct score first, then negatives are counted cumulatively. Rows whose
+    score is NULL or NaN, or whose label is NULL, are left out.
     """
-    per_score = scored.groupBy(score).agg(
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
+    per_score = scored.where(known).groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     running = ordered.running_counts(per_score, score, ("pos", "neg"))
@@ -63,7 +65,7 @@ def weighted_metrics(
 ) -> DataFrame:
     """F1, precision and recall averaged over classes by their share of rows."""
     def average(metric):
-        return sum(F.col(f"actual_{c}") / F.col("n") * metric(c) for c in levels)
+        return sum(F.col(f"actual_{c}") / F.nullif(F.col("n"), F.lit(0)) * metric(c) for c in levels)
 
     def f1(c):
         return _share(2 * _precision(c) * _recall(c), _precision(c) + _recall(c))

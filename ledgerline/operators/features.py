@@ -70,7 +70,7 @@ def with_class_weight(df: DataFrame, label: str = "y", weight: str = "weight") -
     The positive rate stays in the plan as a scalar subquery.
     """
     rate = df.agg(F.avg(label).alias("p"))
-    odds = rate.select(((1 - F.col("p")) / F.col("p")).alias("odds")).scalar()
+    odds = rate.select(((1 - F.col("p")) / F.nullif(F.col("p"), F.lit(0.0))).alias("odds")).scalar()
     return df.withColumn(weight, F.when(F.col(label) == 1, odds).otherwise(F.lit(1.0)))
 
 

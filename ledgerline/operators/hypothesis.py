@@ -13,22 +13,22 @@ ALPHA = 0.05
 
 
 def welch(df: DataFrame, value: str, label: str, first=1, second=0, alpha: float = ALPHA) -> DataFrame:
-    """Welch's t-test of ``value`` between two label values, one scan."""
+    """Welch's t-test of ``value`` between two label values, one scan; NULL without variance."""
     def side(level, tag):
         x = F.when(F.col(label) == F.lit(level), F.col(value))
         return [
             F.count(x).alias(f"n_{tag}"), F.avg(x).alias(f"mean_{tag}"),
-            (F.var_samp(x) / F.count(x)).alias(f"se2_{tag}"),
+            (F.var_samp(x) / F.nullif(F.count(x), F.lit(0))).alias(f"se2_{tag}"),
         ]
 
     row = df.agg(*side(first, "a"), *side(second, "b"))
     error = F.col("se2_a") + F.col("se2_b")
-    dof = error * error / (
-        F.pow("se2_a", F.lit(2)) / (F.col("n_a") - 1) + F.pow("se2_b", F.lit(2)) / (F.col("n_b") - 1)
-    )
+    spread = sum(
+        F.pow(f"se2_{tag}", F.lit(2)) / F.nullif(F.col(f"n_{tag}") - 1, F.lit(0)) for tag in ("a", "b"))
+    dof = error * error / F.nullif(spread, F.lit(0.0))
     row = row.select(
         "n_a", "n_b",
-        ((F.col("mean_a") - F.col("mean_b")) / F.sqrt(error)).alias("t"),
+        ((F.col("mean_a") - F.col("mean_b")) / F.nullif(F.sqrt(error), F.lit(0.0))).alias("t"),
         dof.alias("dof"),
     )
     p = tails.t_p_value(F.col("t"), F.col("dof"))
@@ -47,7 +47,7 @@ def expected_counts(
     cells = F.array(*[
         F.struct(
             F.lit(level).alias(column), F.col(n).alias("observed"),
-            (F.col("_row") * F.col(f"_totals.{n}") / grand).alias("expected"),
+            (F.col("_row") * F.col(f"_totals.{n}") / F.nullif(grand, F.lit(0))).alias("expected"),
         )
         for level, n in zip(levels, names)
     ])
@@ -61,13 +61,15 @@ def chi_squared(
     """Pearson's test of independence.
 
     With ``correction`` a table with one degree of freedom moves every
-    observed count up to one half towards its expected count (Yates).
+    observed count up to one half towards its expected count (Yates). Cells
+    that nothing is expected in, as for a level without rows, add nothing.
     """
     cells = expected_counts(df, row, column, levels, unknown)
     gap = F.abs(F.col("observed") - F.col("expected"))
-    plain = gap * gap / F.col("expected")
+    expected = F.nullif(F.col("expected"), F.lit(0.0))
+    plain = gap * gap / expected
     shifted = gap - F.least(gap, F.lit(0.5))
-    corrected = shifted * shifted / F.col("expected")
+    corrected = shifted * shifted / expected
     result = cells.agg(
         F.sum(plain).alias("plain"), F.sum(corrected).alias("corrected"),
         ((F.count(F.lit(1)) / len(levels) - 1) * (len(levels) - 1)).cast("int").alias("dof"),

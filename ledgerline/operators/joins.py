@@ -13,10 +13,10 @@ BROADCAST_BYTES = 64 * 2**20
 def is_small(
     lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether a lookup may be broadcast; measures at most ``max_rows`` rows of it."""
+    """Whether a lookup may be broadcast: one distributed count of its rows and bytes."""
     texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns]
     row_bytes = sum(texts, F.lit(8 * len(texts)))
-    size = lookup.limit(max_rows + 1).agg(
+    size = lookup.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")
     ).first()
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
@@ -28,13 +28,12 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
 
 
 def broadcast_join(
-    fact: DataFrame, lookup: DataFrame, on: str, salt_on: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
+    fact: DataFrame, lookup: DataFrame, on: str, max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast a lookup whose size was checked; shuffle a larger one."""
-    if is_small(lookup, max_rows):
-        return fact.join(F.broadcast(lookup), on, "inner")
-    return shuffle_join(fact, lookup, on, salt_on)
+    """Broadcast a lookup whose size was checked; a larger one is refused."""
+    if not is_small(lookup, max_rows):
+        raise ValueError(f"lookup exceeds {max_rows} rows or {BROADCAST_BYTES} bytes; use shuffle_join")
+    return fact.join(F.broadcast(lookup), on, "inner")
 
 
 def shuffle_join(

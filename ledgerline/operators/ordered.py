@@ -17,8 +17,10 @@ CELLS = 512
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row ``(by..., value, n)`` per distinct non-NULL value."""
+    """One row ``(by..., value, n)`` per distinct value; NULL and NaN are left out."""
     present = df.where(F.col(value).isNotNull())
+    if dict(df.dtypes)[value] in ("float", "double"):
+        present = present.where(~F.isnan(value))
     return present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -253,7 +253,6 @@ def _exact_sample(n: int, columns: str, where: str = "true") -> str:
 
 
 def build() -> dict[str, str]:
-    cleaned_distinct = [c for c in _CLEAN_COLUMNS if c != "duration_min"]
     clean_with_key = ["row_id", *_CLEAN_COLUMNS]
     sectors = ", ".join(f"('{job}', '{sector}')" for job, sector in STANDIN_SECTORS)
     joined = (f"SELECT row_id, bank.job, balance, y, sector FROM bank"
@@ -331,7 +330,7 @@ def build() -> dict[str, str]:
         "prof_sentinel_rate": _per_column([*schemas.NULLABLE_CATEGORIES, "pdays"], lambda c: (
             f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} = {'-1' if c == 'pdays' else repr('unknown')})"
             " AS n_sentinel, round(100 * n_sentinel / count(*), 2) AS pct FROM campaign")),
-        "prof_cardinality": _per_column(cleaned_distinct, lambda c: (
+        "prof_cardinality": _per_column(_CLEAN_COLUMNS, lambda c: (
             f"SELECT '{c}' AS \"column\", count(*) AS n_distinct FROM (SELECT DISTINCT {_q(c)} FROM bank)")),
         "prof_value_samples": "SELECT * FROM (" + _per_column(_RAW_COLUMNS, lambda c: (
             f"SELECT '{c}' AS \"column\", value, CAST(row_number() OVER (ORDER BY value) AS INT) AS position"

@@ -195,10 +195,10 @@ on_raw("prof_sentinel_rate", lambda df: P.sentinel_rates(
     df, {**dict.fromkeys(schemas.NULLABLE_CATEGORIES, schemas.UNKNOWN),
          "pdays": schemas.NEVER_CONTACTED}))
 REGISTRY["prof_cardinality"] = lambda spark, folder: P.cardinality(
-    clients(spark, folder).drop(KEY, "duration_min")
+    clients(spark, folder).drop(KEY)
 )
 REGISTRY["prof_cardinality_approx"] = lambda spark, folder: P.cardinality_approx(
-    clients(spark, folder).drop(KEY, "duration_min")
+    clients(spark, folder).drop(KEY)
 )
 REGISTRY["prof_value_samples"] = lambda spark, folder: P.value_samples(raw_only(spark, folder))
 REGISTRY["prof_describe"] = lambda spark, folder: P.describe(
@@ -285,7 +285,7 @@ on_clients(
 )
 on_clients(
     "join_sector_broadcast",
-    lambda df: J.broadcast_join(df, sectors(df.sparkSession), "job", [KEY]).select(*JOINED),
+    lambda df: J.broadcast_join(df, sectors(df.sparkSession), "job").select(*JOINED),
 )
 on_clients(
     "join_sector_sortmerge",

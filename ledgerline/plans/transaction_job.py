@@ -33,10 +33,10 @@ def watch(
 def archive(
     spark: SparkSession, input_path: str, output_path: str, checkpoint: str,
     seconds: int = schemas.WINDOW_SECONDS, threshold: float = schemas.SUSPICIOUS_ABOVE,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = None, timeout: int | None = None,
 ) -> StreamingQuery:
     """Append closed windows of everything that has arrived to Parquet, then stop."""
     result = window_stream(spark, input_path, seconds, threshold, files_per_trigger)
     return runner.run_available(
-        runner.to_files(windows.flatten(result), output_path, checkpoint)
+        runner.to_files(windows.flatten(result), output_path, checkpoint), timeout
     )

@@ -64,15 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """Session for stateful streams: one state partition per core of the cluster.
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """Session for stateful streams.
 
-    State partitions are fixed when a query first starts, so they follow the
-    cluster's size instead of the batch default. The sibling session shares the
-    context and leaves the caller's settings alone.
+    State partitions are fixed when a query first starts. They follow
+    ``spark.sql.shuffle.partitions`` as the caller set it, unless given. The
+    sibling session shares the context and leaves the caller's settings alone.
     """
     sibling = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
         sibling.conf.set(key, spark.conf.get(key))
-    sibling.conf.set("spark.sql.shuffle.partitions", str(max(4, spark.sparkContext.defaultParallelism)))
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sibling

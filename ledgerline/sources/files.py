@@ -14,10 +14,12 @@ def read_campaign_csv(
 ) -> DataFrame:
     """Campaign CSV with a header.
 
-    The declared schema saves a pass over the file; ``schema=None`` infers it.
+    The declared schema saves a pass over the file and must agree with the
+    header, or reading fails; ``schema=None`` infers it.
     """
     reader = spark.read.option("header", True).option("sep", sep)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
+    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema).option(
+        "enforceSchema", False)
     return reader.csv(path)
 
 

@@ -73,11 +73,13 @@ def newest_per_key(versions: DataFrame, keys: Iterable[str]) -> DataFrame:
     return latest.select(*keys, "latest.*")
 
 
-def run_available(writer: DataStreamWriter, timeout: int = 600) -> StreamingQuery:
-    """Process what is there now, then stop."""
+def run_available(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
+    """Process what is there now, then stop; ``timeout`` seconds bound the run if given."""
     query = writer.trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise TimeoutError(f"stream still busy after {timeout} s")
     finally:
         query.stop()

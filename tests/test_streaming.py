@@ -2,6 +2,7 @@ import os
 
 import pytest
 from tests.helpers import values
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline import schemas, session
@@ -109,8 +110,10 @@ def test_order_newest_window_first(streams, late_folder):
 
 def test_sort_needs_complete_mode(streams, late_folder):
     result = T.latest_first(transaction_job.window_stream(streams, late_folder))
-    with pytest.raises(Exception, match="(?i)sort"):
-        runner.to_versions(result, "/nowhere", "/nowhere", "append").start()
+    base = session.fresh_dir(streams, "refused")
+    with pytest.raises(AnalysisException) as refused:
+        runner.to_versions(result, f"{base}/out", f"{base}/state", "append").start()
+    assert "STREAMING" in refused.value.getCondition() or "sort" in str(refused.value).lower()
 
 
 def test_rows_without_time_or_job(streams, tmp_path):
