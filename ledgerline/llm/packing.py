@@ -96,15 +96,33 @@ def encoder_of(definition: bytes) -> WordIds:
     return _encoders[key]
 
 
+def cut_lengths(total: int, window: int = WINDOW, tiers=TIERS) -> list[tuple[int, int]]:
+    """(start, length) of a document's pieces.
+
+    A document that fits the window is one piece. A longer one fills windows,
+    and its rest is cut into the context sizes that it holds, longest first, so
+    that the parts fill windows of the shorter tiers exactly.
+    """
+    if total <= window:
+        return [(0, total)]
+    pieces = [(start, window) for start in range(0, total - window + 1, window)]
+    at = window * len(pieces)
+    for size in sorted((t for t in tiers if t < window), reverse=True):
+        if total - at >= size:
+            pieces.append((at, size))
+            at += size
+    return pieces + [(at, total - at)] * (at < total)
+
+
 def tokenize_pieces(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-    window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False,
+    window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, tiers=TIERS,
 ) -> DataFrame:
-    """Ids of every whole text plus ``end_id``, cut at every ``window`` ids.
+    """Ids of every whole text plus ``end_id``, cut into pieces.
 
     Columns: id, ``start``, ``length``,
-    ``ids_crc32``, ``doc_tokens`` and, on request, ``ids``. The rest behind the
-    last full window is one piece, so documents that fit stay whole.
+    ``ids_crc32``, ``doc_tokens`` and, on request, ``ids``. Documents that fit a
+    window stay whole; the others are cut by ``cut_lengths``.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -119,8 +137,8 @@ def tokenize_pieces(
             for row, text in enumerate(batch.column(1)):
                 ids = encoder.encode(text.as_py()) + end
                 total = len(ids) // 4
-                for start in range(0, total, window):
-                    piece = ids[4 * start : 4 * (start + window)]
+                for start, length in cut_lengths(total, window, tiers):
+                    piece = ids[4 * start : 4 * (start + length)]
                     rows.append(row)
                     starts.append(start)
                     lengths.append(len(piece) // 4)
