@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import ship, stored, whole_text
+from ledgerline.llm.common import discard, ship, stored, whole_text
 from ledgerline.llm.components import connected_components, tile_pairs
 
 WORDS = 5
@@ -105,6 +105,23 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def wide_signature(shingles: np.ndarray) -> bytes:
+    """Bitmap of at least four bits per shingle, its size a power of two."""
+    size = 1 << max(9, (4 * len(shingles) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(shingles >> np.uint64(20)) & np.uint64(size - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def wide_bound(x: bytes, y: bytes, x_size: int, y_size: int) -> int:
+    """Upper bound of the overlap; the longer bitmap is folded to the shorter."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    size = min(len(a), len(b))
+    a = np.bitwise_or.reduce(a.reshape(-1, size), axis=0)
+    b = np.bitwise_or.reduce(b.reshape(-1, size), axis=0)
+    return min(x_size - int(np.bitwise_count(a & ~b).sum()), y_size - int(np.bitwise_count(b & ~a).sum()))
+
+
 def set_id(shingles: np.ndarray, seed: int = 0) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes(), seed=seed) - (1 << 63)
 
@@ -133,76 +150,80 @@ def frequent_shingles(rows: DataFrame, words: int) -> np.ndarray:
     return np.sort(top.select("h").toPandas()["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def profile_sets(rows: DataFrame, words: int) -> DataFrame:
-    """Id, set size, two set hashes and bitmap lanes of every row."""
+def set_rows(rows: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
+    """One row per document, and one per shingle of its set's prefix.
+
+    Document rows hold id, set size ``n``, two hashes ``s`` and ``s2`` of the
+    set, bitmap lanes and the ``wide`` bitmap; ``h`` is NULL. Prefix rows hold
+    ``h`` and ``s``; equal sets within one task give them once, and rows with a
+    NULL id none.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT hashes
     lanes = [f"g{i}" for i in range(LANES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sizes, first, second, maps = [], [], [], []
-            for text in batch.column(1):
-                shingles = shingle_set(text.as_py(), words)
-                sizes.append(len(shingles))
-                first.append(set_id(shingles))
-                second.append(set_id(shingles, 1))
-                maps.append(signature(shingles))
-            grid = np.array(maps).reshape(-1, LANES)
+            for start in range(0, batch.num_rows, 1000):
+                yield from part(batch.slice(start, 1000), seen)
+
+    def part(batch, seen):
+        sizes, first, second, maps, wides, hashes, sets = [], [], [], [], [], [], []
+        for known, text in zip(batch.column(0).is_valid().to_pylist(), batch.column(1)):
+            shingles = shingle_set(text.as_py(), words)
+            own = set_id(shingles)
+            sizes.append(len(shingles))
+            first.append(own)
+            second.append(set_id(shingles, 1))
+            maps.append(signature(shingles))
+            wides.append(wide_signature(shingles))
+            if known and len(shingles) and own not in seen:
+                seen.add(own)
+                prefix = prefix_of(shingles, shared.value)
+                hashes.append(prefix.view(np.int64))
+                sets.append(np.full(len(prefix), own, dtype=np.int64))
+        grid = np.array(maps).reshape(-1, LANES)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.nulls(len(sizes), pa.int64()),
+             *[pa.array(x, pa.int64()) for x in (first, second, sizes)],
+             *[pa.array(np.ascontiguousarray(grid[:, i])) for i in range(LANES)],
+             pa.array(wides, pa.binary())], names)
+        if hashes:
+            count = sum(map(len, hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.int64()) for x in (sizes, first, second)],
-                 *[pa.array(np.ascontiguousarray(grid[:, i])) for i in range(LANES)]],
-                ["_id", "n", "s", "s2", *lanes])
+                [pa.nulls(count, batch.column(0).type), pa.array(np.concatenate(hashes)),
+                 pa.array(np.concatenate(sets)), *[pa.nulls(count, pa.int64())] * (2 + LANES),
+                 pa.nulls(count, pa.binary())], names)
 
+    names = ["_id", "h", "s", "s2", "n", *lanes, "wide"]
     kind = rows.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, n bigint, s bigint, s2 bigint, " + ", ".join(f"{g} bigint" for g in lanes)
+    schema = f"_id {kind}, h bigint, s bigint, s2 bigint, n bigint, "
+    schema += ", ".join(f"{g} bigint" for g in lanes) + ", wide binary"
     return rows.select("_id", "_text").mapInArrow(run, schema)
 
 
-def prefix_rows(rows: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
-    """(shingle, set) for the prefix of every set; equal sets within one task once."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT hashes
+def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose sizes, lanes and then wide bitmaps allow the similarity."""
+    scale, least = SIMILAR
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(
+            F.col("s").alias(side), F.col("n").alias(f"{side}_n"), F.col("wide").alias(f"{side}_wide"),
+            *[F.col(f"g{i}").alias(f"{side}{i}") for i in range(LANES)]), side)
+    fits = F.lit(scale) * bound("a", "b") >= F.lit(least) * (F.col("a_n") + F.col("b_n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            hashes, sets = [], []
-            for text in batch.column(0):
-                shingles = shingle_set(text.as_py(), words)
-                own = set_id(shingles)
-                if len(shingles) and own not in seen:
-                    seen.add(own)
-                    prefix = prefix_of(shingles, shared.value)
-                    hashes.append(prefix.view(np.int64))
-                    sets.append(np.full(len(prefix), own, dtype=np.int64))
-                if sum(map(len, hashes)) > 200_000:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(sets))], ["h", "s"])
-                    hashes, sets = [], []
-            if hashes:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(sets))], ["h", "s"])
+            keep = pa.array([
+                scale * wide_bound(x, y, m, n) >= least * (m + n)
+                for m, n, x, y in zip(*[batch.column(i).to_pylist() for i in range(2, 6)])], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
 
-    return rows.select("_text").mapInArrow(run, "h bigint, s bigint")
-
-
-def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sizes and bitmaps of both sides of (a, b)."""
-    for side in ("a", "b"):
-        named = sets.select(
-            F.col("s").alias(side), F.col("n").alias(f"{side}_n"),
-            *[F.col(f"g{i}").alias(f"{side}{i}") for i in range(LANES)])
-        pairs = pairs.join(named, side)
-    return pairs
-
-
-def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sizes and bitmaps allow the similarity."""
-    scale, least = SIMILAR
-    fits = F.lit(scale) * bound("a", "b") >= F.lit(least) * (F.col("a_n") + F.col("b_n"))
-    return _sides(pairs, sets).where(fits).select("a", "b")
+    rows = pairs.where(fits).select("a", "b", "a_n", "b_n", "a_wide", "b_wide")
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def _arrays(rows: DataFrame, profile: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Set and sorted shingles of one row for each wanted set."""
+    """Each wanted set and its shingles, sorted as signed numbers."""
     carrier = profile.join(wanted, "s", "left_semi").groupBy("s").agg(F.min("_id").alias("_id"))
     texts = rows.join(carrier, "_id").select("s", "_text")
 
@@ -210,12 +231,15 @@ def _arrays(rows: DataFrame, profile: DataFrame, wanted: DataFrame, words: int)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                arrays = [shingle_set(t.as_py(), words).view(np.int64) for t in part.column(1)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["s", "shingles"])
+                found = [shingle_set(t.as_py(), words) for t in part.column(1)]
+                own = [i for i, s in enumerate(part.column(0).to_pylist()) if set_id(found[i]) == s]
+                arrays = [np.sort(found[i].view(np.int64)) for i in own]
+                offsets = np.cumsum([0, *[len(x) for x in arrays]])
+                joined = np.concatenate([np.zeros(0, np.int64), *arrays])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(joined))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own, pa.int64())), lists], ["s", "shingles"])
 
-    return texts.mapInArrow(run, "s bigint, shingles array<bigint>").dropDuplicates(["s"])
+    return texts.mapInArrow(run, "s bigint, shingles array<bigint>")
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -233,12 +257,30 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
 
-    left = arrays.select(F.col("s").alias("a"), F.array_sort("shingles").alias("_x"))
-    right = arrays.select(F.col("s").alias("b"), F.array_sort("shingles").alias("_y"))
+    left = arrays.select(F.col("s").alias("a"), F.col("shingles").alias("_x"))
+    right = arrays.select(F.col("s").alias("b"), F.col("shingles").alias("_y"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y")
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def _leaders(meeting: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each shingle the set that the others are first compared with.
+
+    It is the one with the fewest shingles of its own in its prefix: what all
+    copies of a text derive from has none, while two edited copies may be too
+    far apart to link.
+    """
+    size = F.col("n")
+    prefix = size - F.floor((3 * size + 3) / 4) + 1
+    own = (
+        meeting.groupBy("s").agg(F.count(F.lit(1)).alias("_met")).join(sets.select("s", "n"), "s")
+        .select("s", (prefix - F.col("_met")).alias("_own"))
+    )
+    ranked = meeting.join(own, "s").groupBy("h").agg(
+        F.min(F.struct("_own", "s")).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    return ranked.where("_n > 1").select("h", F.col("_best.s").alias("lead"))
+
+
 def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
     """Pairs that meet over a shingle, lie in different components and may link.
 
@@ -248,12 +290,14 @@ def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame
     labelled = meeting.join(part, "s", "left").withColumn("c", F.coalesce("component", "s")).drop("component")
     mixed = labelled.groupBy("h").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo <> _hi")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")
-    banded = (
+    banded = stored(
         labelled.join(mixed.select("h"), "h", "left_semi").join(sets, "s")
         .withColumn("_own", band)
-        .withColumn("_band", F.explode(F.array(F.col("_own"), F.col("_own") - 1)))
+        .withColumn("_band", F.explode(F.array(F.col("_own"), F.col("_own") - 1))),
+        "banded-sets",
     )
-    tiles = tile_pairs(banded, ["h", "_band"], F.xxhash64("s"), TILE)
+    tiles = stored(tile_pairs(banded, ["h", "_band"], F.xxhash64("s"), TILE), "tiled-sets")
+    discard(banded)
     keys = ["h", "_band", "_low", "_high"]
     sides = {}
     for side in ("a", "b"):
@@ -265,7 +309,10 @@ def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame
     may = F.expr("a_c <> b_c AND a_here AND (NOT b_here OR a < b) AND (_low = _high OR a_tile <> b_tile)")
     fits = F.lit(scale) * bound("a", "b") >= F.lit(least) * (F.col("a_n") + F.col("b_n"))
     met = sides["a"].where("a_here").join(sides["b"], keys).where(may & fits)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = stored(pairs, "meeting-pairs")
+    discard(tiles)
+    return pairs
 
 
 def jaccard_components(
@@ -279,7 +326,7 @@ def jaccard_components(
     class from the start. Rows with a NULL id link with nothing and have a NULL
     ``component_id``. No rows in, no rows out.
 
-    Classes that meet over a shingle are first compared with the least of
+    Classes that meet over a shingle are first compared with a leader among
     them. Those that are still apart then meet in tiles; only pairs in
     different components are looked at, so a large group of near copies costs
     its size, not its square. Neither step drops a link between components.
@@ -287,26 +334,28 @@ def jaccard_components(
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-    profile = stored(profile_sets(rows, words), "sets")
-    sets = profile.where("n > 0").groupBy("s").agg(
-        F.max("n").alias("n"), *[F.max(f"g{i}").alias(f"g{i}") for i in range(LANES)])
-    frequent = frequent_shingles(rows, words)
-
     known = rows.where(F.col("_id").isNotNull())
-    prefixes = prefix_rows(known, frequent, words)
+    table = stored(set_rows(rows, frequent_shingles(known, words), words), "sets")
+    profile = stored(table.where("h IS NULL").drop("h"), "set-profiles")
+    sets = profile.where("n > 0").groupBy("s").agg(
+        *[F.max(c).alias(c) for c in ("n", "wide", *[f"g{i}" for i in range(LANES)])])
+    prefixes = table.where("h IS NOT NULL").select("h", "s")
     repeated = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
     repeated = stored(repeated, "shared-shingles")
-    meeting = stored(prefixes.join(repeated, "h").distinct(), "meeting-sets")
+    meeting = stored(prefixes.join(repeated.hint("shuffle_hash"), "h").distinct(), "meeting-sets")
+    discard(table, repeated)
 
-    leads = meeting.groupBy("h").agg(F.min("s").alias("a"), F.max("s").alias("_last")).where("a <> _last")
-    stars = meeting.join(leads, "h").where("s <> a").select("a", F.col("s").alias("b")).distinct()
+    leads = stored(_leaders(meeting, sets), "leaders")
+    stars = meeting.join(leads, "h").where("s <> lead").select(
+        F.least("lead", "s").alias("a"), F.greatest("lead", "s").alias("b")).distinct()
     pairs = stored(_may_link(stars, sets), "star-pairs")
     ends = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
     arrays = stored(_arrays(known, profile, ends, words), "shingle-arrays")
     links = stored(_verified(pairs, arrays), "star-links")
     part = connected_components(links, "a", "b").select(F.col("id").alias("s"), "component")
 
-    crossing = stored(_crossing(meeting, sets, part).join(pairs, ["a", "b"], "left_anti"), "crossing-pairs")
+    apart = _crossing(meeting, sets.drop("wide"), part).join(pairs, ["a", "b"], "left_anti")
+    crossing = stored(_may_link(apart, sets), "crossing-pairs")
     if not crossing.isEmpty():
         ends = crossing.select(F.col("a").alias("s")).unionByName(crossing.select(F.col("b").alias("s"))).distinct()
         missing = ends.join(arrays, "s", "left_anti")
@@ -317,8 +366,11 @@ def jaccard_components(
     # Rows without a set get a key of their own, which spreads them evenly.
     labelled = profile.join(part, "s", "left").withColumn(
         "_class", F.when(F.col("n") > 0, F.coalesce("component", "s")).otherwise(F.xxhash64("_id")))
-    least = labelled.where("n > 0").groupBy("_class").agg(F.min("_id").alias("_least"))
+    least = stored(
+        labelled.where("n > 0").groupBy("_class").agg(
+            F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1"),
+        "least-ids")
     joined = labelled.join(least, "_class", "left")
-    component = F.when((F.col("n") > 0) & F.col("_id").isNotNull(), F.col("_least")).otherwise(F.col("_id"))
+    component = F.when((F.col("n") > 0) & F.col("_id").isNotNull(), F.coalesce("_least", "_id")).otherwise(F.col("_id"))
     return joined.select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
