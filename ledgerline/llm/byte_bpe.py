@@ -22,7 +22,7 @@ from ledgerline.llm.common import ship, whole_text
 WHITE_SPACE = "\t-\r" + "".join(map(chr, (
     0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Entries a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

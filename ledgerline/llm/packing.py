@@ -28,7 +28,7 @@ GROUP_WINDOWS = 256
 #: Sequences of one training step.
 STEP_SEQUENCES = 64
 #: Entries a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: The splitting pattern of the word-end vocabulary, applied to lower-cased text.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+"
 _SPACE = re.compile(f"[{WHITE_SPACE}]+")
