@@ -27,7 +27,7 @@ END_ID = 2
 GROUP_WINDOWS = 256
 #: Sequences of one training step.
 STEP_SEQUENCES = 64
-#: Entries a worker remembers before it starts afresh; bounds its memory.
+#: Entries a worker remembers before it sets them aside; bounds its memory.
 REMEMBERED = 200_000
 #: The splitting pattern of the word-end vocabulary, applied to lower-cased text.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+"
@@ -55,33 +55,40 @@ class WordIds:
         self.letters = _byte_letters()
         self.of_word: dict[str, bytes] = {}
         self.of_stretch: dict[str, bytes] = {}
+        # Entries set aside come back when used again; the others go next time.
+        self.older_words: dict[str, bytes] = {}
+        self.older_stretches: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.of_word.get(word)
+        if ids is None and (ids := self.older_words.get(word)) is not None:
+            self.of_word[word] = ids
         if ids is None:
             mapped = word.encode().decode("latin-1").translate(self.letters)
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
             if len(self.of_word) >= REMEMBERED:
-                self.of_word.clear()
+                self.older_words, self.of_word = self.of_word, {}
             if len(word) <= 64:
                 self.of_word[word] = ids
         return ids
 
     def _stretch(self, stretch: str) -> bytes:
+        if (ids := self.older_stretches.get(stretch)) is not None:
+            self.of_stretch[stretch] = ids
+            return ids
         composed = unicodedata.normalize("NFC", stretch)
         # Letter by letter: a whole word would get a final sigma.
         lower = "".join([c.lower() for c in composed]) if "Σ" in composed else composed.lower()
         ids = b"".join([self._word(word) for word in self.words.findall(lower)])
         if len(self.of_stretch) >= REMEMBERED:
-            self.of_stretch.clear()
+            self.older_stretches, self.of_stretch = self.of_stretch, {}
         if len(stretch) <= 64:
             self.of_stretch[stretch] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         parts = text.split() if not _SEPARATORS.search(text) else _SPACE.split(text)
-        known = self.of_stretch.get
-        return b"".join([x if (x := known(p)) is not None else self._stretch(p) for p in parts])
+        return b"".join([x if (x := self.of_stretch.get(p)) is not None else self._stretch(p) for p in parts])
 
 
 _encoders: dict[str, WordIds] = {}
