@@ -22,7 +22,7 @@ WORDS = 5
 #: Links need SIMILAR[0] * intersection >= SIMILAR[1] * (sum of sizes), that is Jaccard >= 0.75.
 SIMILAR = (7, 3)
 #: 64-bit lanes of a bitmap signature.
-LANES = 8
+LANES = 16
 #: Rows compared with one another in one tile.
 TILE = 1024
 #: Documents sampled to learn which shingles are frequent, and how many are kept at most.
@@ -263,22 +263,36 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _leaders(meeting: DataFrame, sets: DataFrame) -> DataFrame:
+def _one_of_equal_groups(meeting: DataFrame) -> DataFrame:
+    """Of the shingles that exactly the same sets share, keep one; shingles of a single set go.
+
+    A shared passage has many shingles and one group of sets: without this
+    every pair of the group would meet once for each of them. Groups are
+    compared by their size and 128 bits of hashes of their members.
+    """
+    groups = meeting.groupBy("h").agg(
+        F.bit_xor(F.xxhash64("s")).alias("_x"), F.bit_xor(F.xxhash64("s", F.lit(1))).alias("_y"),
+        F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return meeting.join(groups.groupBy("_x", "_y", "_n").agg(F.min("h").alias("h")).select("h"), "h", "left_semi")
+
+
+def _own_shingles(meeting: DataFrame, sizes: DataFrame) -> DataFrame:
+    """How many shingles of its prefix each set shares with no other."""
+    size = F.col("n")
+    prefix = size - F.floor((3 * size + 3) / 4) + 1
+    met = meeting.groupBy("s").agg(F.count(F.lit(1)).alias("_met"))
+    return met.join(sizes, "s").select("s", (prefix - F.col("_met")).alias("_own"))
+
+
+def _leaders(meeting: DataFrame, own: DataFrame) -> DataFrame:
     """For each shingle the set that the others are first compared with.
 
     It is the one with the fewest shingles of its own in its prefix: what all
     copies of a text derive from has none, while two edited copies may be too
     far apart to link.
     """
-    size = F.col("n")
-    prefix = size - F.floor((3 * size + 3) / 4) + 1
-    own = (
-        meeting.groupBy("s").agg(F.count(F.lit(1)).alias("_met")).join(sets.select("s", "n"), "s")
-        .select("s", (prefix - F.col("_met")).alias("_own"))
-    )
-    ranked = meeting.join(own, "s").groupBy("h").agg(
-        F.min(F.struct("_own", "s")).alias("_best"), F.count(F.lit(1)).alias("_n"))
-    return ranked.where("_n > 1").select("h", F.col("_best.s").alias("lead"))
+    ranked = meeting.join(own, "s").groupBy("h").agg(F.min(F.struct("_own", "s")).alias("_best"))
+    return ranked.select("h", F.col("_best.s").alias("lead"))
 
 
 def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
@@ -337,15 +351,18 @@ def jaccard_components(
     known = rows.where(F.col("_id").isNotNull())
     table = stored(set_rows(rows, frequent_shingles(known, words), words), "sets")
     profile = stored(table.where("h IS NULL").drop("h"), "set-profiles")
-    sets = profile.where("n > 0").groupBy("s").agg(
-        *[F.max(c).alias(c) for c in ("n", "wide", *[f"g{i}" for i in range(LANES)])])
     prefixes = table.where("h IS NOT NULL").select("h", "s")
     repeated = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
     repeated = stored(repeated, "shared-shingles")
-    meeting = stored(prefixes.join(repeated.hint("shuffle_hash"), "h").distinct(), "meeting-sets")
+    shared = stored(prefixes.join(repeated.hint("shuffle_hash"), "h").distinct(), "sharing-sets")
     discard(table, repeated)
+    meeting = stored(_one_of_equal_groups(shared), "meeting-sets")
+    compared = profile.where("n > 0").join(meeting.select("s").distinct(), "s", "left_semi")
+    sets = stored(compared.groupBy("s").agg(
+        *[F.max(c).alias(c) for c in ("n", "wide", *[f"g{i}" for i in range(LANES)])]), "compared-sets")
 
-    leads = stored(_leaders(meeting, sets), "leaders")
+    leads = stored(_leaders(meeting, _own_shingles(shared, sets.select("s", "n"))), "leaders")
+    discard(shared)
     stars = meeting.join(leads, "h").where("s <> lead").select(
         F.least("lead", "s").alias("a"), F.greatest("lead", "s").alias("b")).distinct()
     pairs = stored(_may_link(stars, sets), "star-pairs")
