@@ -31,7 +31,7 @@ def welch(df: DataFrame, value: str, label: str, first=1, second=0, alpha: float
         ((F.col("mean_a") - F.col("mean_b")) / F.nullif(F.sqrt(error), F.lit(0.0))).alias("t"),
         dof.alias("dof"),
     )
-    p = tails.t_p_value(F.col("t"), F.col("dof"))
+    p = tails.student_t_two_sided(F.col("t"), F.col("dof"))
     return row.withColumn("p_value", p).withColumn("reject", F.col("p_value") < alpha)
 
 
@@ -78,5 +78,5 @@ def chi_squared(
     result = result.select(
         F.when(adjusted, F.col("corrected")).otherwise(F.col("plain")).alias("chi2"), "dof"
     )
-    p = tails.chi2_p_value(F.col("chi2"), F.col("dof"))
+    p = tails.chi_squared_tail(F.col("chi2"), F.col("dof"))
     return result.withColumn("p_value", p).withColumn("reject", F.col("p_value") < alpha)

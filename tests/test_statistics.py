@@ -29,20 +29,46 @@ def numbers(spark):
     return frame, spark.createDataFrame(rows, "g int, x double")
 
 
-def test_chi_squared_tail_values():
-    # Published critical values at 5 %.
-    for dof, critical in [(1, 3.841459), (2, 5.991465), (3, 7.814728), (10, 18.307038)]:
-        assert tails.chi_squared_tail(critical, dof) == pytest.approx(0.05, abs=1e-7)
-    assert tails.chi_squared_tail(0, 1) == 1.0
-    assert tails.chi_squared_tail(5.0, 0) == 1.0
+def _tail(spark, function, statistic, dof):
+    return spark.range(1).select(function(F.lit(statistic), F.lit(dof)).alias("p")).first()["p"]
 
 
-def test_student_tail_values():
+def test_chi_squared_tail_values(spark):
+    # Published critical values at 5 %.
+    for dof, critical in [(1, 3.841459), (2, 5.991465), (3, 7.814728), (10, 18.307038)]:
+        assert _tail(spark, tails.chi_squared_tail, critical, dof) == pytest.approx(0.05, abs=1e-7)
+    assert _tail(spark, tails.chi_squared_tail, 0, 1) == 1.0
+    assert _tail(spark, tails.chi_squared_tail, 5.0, 0) == 1.0
+    assert _tail(spark, tails.chi_squared_tail, None, 2) is None
+    for x in (1e-9, 0.3, 4.0, 90.0, 600.0):
+        assert _tail(spark, tails.chi_squared_tail, x, 1) == pytest.approx(math.erfc(math.sqrt(x / 2)), rel=1e-11)
+    # Even degrees of freedom are a Poisson sum.
+    poisson = sum(math.exp(k * math.log(1000) - 1000 - math.lgamma(k + 1)) for k in range(1000))
+    assert _tail(spark, tails.chi_squared_tail, 2000.0, 2000) == pytest.approx(poisson, rel=1e-9)
+
+
+def test_student_tail_values(spark):
     for dof, critical in [(1, 12.706205), (5, 2.570582), (30, 2.042272), (1000, 1.962339)]:
-        assert tails.student_t_two_sided(critical, dof) == pytest.approx(0.05, abs=1e-7)
-        assert tails.student_t_two_sided(-critical, dof) == pytest.approx(0.05, abs=1e-7)
-    assert tails.student_t_two_sided(0, 7) == pytest.approx(1.0)
-    assert 0 < tails.student_t_two_sided(35.1, 2535.8) < 1e-200
+        assert _tail(spark, tails.student_t_two_sided, critical, dof) == pytest.approx(0.05, abs=1e-7)
+        assert _tail(spark, tails.student_t_two_sided, -critical, dof) == pytest.approx(0.05, abs=1e-7)
+    assert _tail(spark, tails.student_t_two_sided, 0, 7) == pytest.approx(1.0)
+    assert 0 < _tail(spark, tails.student_t_two_sided, 35.1, 2535.8) < 1e-200
+    assert _tail(spark, tails.student_t_two_sided, None, 7) is None
+    for t in (0.01, 1.0, 40.0):  # closed forms for one and two degrees of freedom
+        assert _tail(spark, tails.student_t_two_sided, t, 1) == pytest.approx(
+            2 * math.atan2(1, t) / math.pi, rel=1e-11)
+        root = math.sqrt(2 + t * t)
+        assert _tail(spark, tails.student_t_two_sided, t, 2) == pytest.approx(2 / (root * (root + t)), rel=1e-11)
+
+
+def test_student_tail_of_large_samples(spark):
+    # To first order in 1/dof the tail differs from the normal one by a known term.
+    for dof in (1e8, 1e10, 1e12):
+        for t in (0.5, 1.96, 6.0):
+            normal = math.erfc(t / math.sqrt(2))
+            density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+            expected = normal + density * t * (t * t + 1) / (2 * dof)
+            assert _tail(spark, tails.student_t_two_sided, t, dof) == pytest.approx(expected, rel=1e-10)
 
 
 def test_chi_squared_two_by_two(table):
