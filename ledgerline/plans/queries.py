@@ -560,11 +560,8 @@ on_clients(
 
 
 # --- Models ------------------------------------------------------------------
-# Boosting runs one job per round, so the registry boosts fewer rounds; the
-# training job uses the full parameters and grids.
-
-TRIAL = {"LogReg": {}, "RandomForest": {}, "GBT": {"maxIter": 20}}
-
+# Full parameters. Searching the grids of all three candidates is the training
+# job's work; here the grid of the logistic regression is searched.
 
 def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored_split(df, KEY)
@@ -572,14 +569,19 @@ def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fitted(name: str, train: DataFrame):
     with L.cached(train) as held:
-        return M.fit(M.CANDIDATES[name], held, **TRIAL[name])
+        return M.fit(M.CANDIDATES[name], held)
+
+
+def shown(scored: DataFrame) -> DataFrame:
+    """Key, label, prediction, probability of the positive class and score."""
+    probability = X.vector_to_array(F.col("probability"))[1].alias("probability")
+    return rounded(scored.select(KEY, "y", "prediction", probability, "score"), 6, "probability", "score")
 
 
 def _predictions(name: str):
     def run(df):
         train, test = split_model_table(df)
-        scored = M.predict(fitted(name, train), test)
-        return rounded(scored.select(KEY, "y", "prediction", "score"), 6, "score")
+        return shown(M.predict(fitted(name, train), test))
     return run
 
 
@@ -590,7 +592,7 @@ on_clients("ml_gbt_predictions", _predictions("GBT"))
 
 def _cv_grid(df: DataFrame) -> DataFrame:
     train, _ = split_model_table(df)
-    tuned = M.tune(M.CANDIDATES["LogReg"], train, grid={"regParam": (0.0, 0.1)})
+    tuned = M.tune(M.CANDIDATES["LogReg"], train)
     return rounded(M.grid_table(tuned, df), 6, "roc_auc")
 
 
@@ -625,5 +627,4 @@ def ml_reload_predict(spark, folder):
     train, test = split_model_table(clients(spark, folder))
     path = fresh_dir(spark, "model")
     M.save(fitted("LogReg", train), path)
-    scored = M.predict(M.load(path), test)
-    return rounded(scored.select(KEY, "y", "prediction", "score"), 6, "score")
+    return shown(M.predict(M.load(path), test))
