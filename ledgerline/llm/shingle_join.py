@@ -295,7 +295,23 @@ def _leaders(meeting: DataFrame, own: DataFrame) -> DataFrame:
     return ranked.select("h", F.col("_best.s").alias("lead"))
 
 
-def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
+def _merged(groups: DataFrame) -> DataFrame:
+    """Join the groups of shingles with the same leader where that makes fewer pairs.
+
+    The shingles of one passage have nearly the same sets each, so that two
+    sets would meet over every one of them. ``groups`` has ``h``, ``lead``,
+    ``s`` and ``c``. Sets that were in a group together stay so; ``h`` becomes
+    the leader in joined groups, which ``joined`` marks.
+    """
+    each = groups.groupBy("lead", "h").agg(F.count(F.lit(1)).alias("_k"))
+    apart = each.groupBy("lead").agg(F.sum(F.col("_k") * F.col("_k")).alias("_apart"))
+    joined = groups.select("lead", "s").distinct().groupBy("lead").agg(F.count(F.lit(1)).alias("_m"))
+    choice = apart.join(joined, "lead").select("lead", (F.col("_m") * F.col("_m") < F.col("_apart")).alias("joined"))
+    return groups.join(choice, "lead").select(
+        F.when(F.col("joined"), F.col("lead")).otherwise(F.col("h")).alias("h"), "joined", "s", "c").distinct()
+
+
+def _crossing(meeting: DataFrame, leads: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
     """Pairs that meet over a shingle, lie in different components and may link.
 
     Rows meet in tiles of neighbouring size bands: sets whose sizes differ by
@@ -304,15 +320,17 @@ def _crossing(meeting: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame
     labelled = meeting.join(part, "s", "left").withColumn("c", F.coalesce("component", "s")).drop("component")
     mixed = labelled.groupBy("h").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo <> _hi")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")
+    groups = stored(labelled.join(mixed.select("h").join(leads, "h"), "h"), "mixed-sets")
     banded = stored(
-        labelled.join(mixed.select("h"), "h", "left_semi").join(sets, "s")
+        _merged(groups).join(sets, "s")
         .withColumn("_own", band)
         .withColumn("_band", F.explode(F.array(F.col("_own"), F.col("_own") - 1))),
         "banded-sets",
     )
-    tiles = stored(tile_pairs(banded, ["h", "_band"], F.xxhash64("s"), TILE), "tiled-sets")
+    discard(groups)
+    tiles = stored(tile_pairs(banded, ["h", "joined", "_band"], F.xxhash64("s"), TILE), "tiled-sets")
     discard(banded)
-    keys = ["h", "_band", "_low", "_high"]
+    keys = ["h", "joined", "_band", "_low", "_high"]
     sides = {}
     for side in ("a", "b"):
         sides[side] = tiles.select(
@@ -371,7 +389,7 @@ def jaccard_components(
     links = stored(_verified(pairs, arrays), "star-links")
     part = connected_components(links, "a", "b").select(F.col("id").alias("s"), "component")
 
-    apart = _crossing(meeting, sets.drop("wide"), part).join(pairs, ["a", "b"], "left_anti")
+    apart = _crossing(meeting, leads, sets.drop("wide"), part).join(pairs, ["a", "b"], "left_anti")
     crossing = stored(_may_link(apart, sets), "crossing-pairs")
     if not crossing.isEmpty():
         ends = crossing.select(F.col("a").alias("s")).unionByName(crossing.select(F.col("b").alias("s"))).distinct()
