@@ -260,3 +260,17 @@ def test_odd_rows_do_not_crash(spark):
         assert sharding.shard_documents(df).count() == count
         assert secret_scan.scan_secrets(df).count() == count
         assert packing.pack_documents(df, WORD).select("doc_id").distinct().count() == df.select("doc_id").distinct().count()
+
+
+def test_groups_of_one_leader_keep_every_pair(spark):
+    """A passage of eight shingles whose groups differ by a set, and a leader of two groups far apart."""
+    groups = {h: [s for s in range(10) if s != h] for h in range(8)} | {20: [30, 31, 32], 21: [30, 41, 42]}
+    lead = {h: 9 if h < 10 else 30 for h in groups}
+    rows = [(h, lead[h], s, s) for h, sets in groups.items() for s in sets]
+    merged = shingle_join._merged(spark.createDataFrame(rows, "h long, lead long, s long, c long")).collect()
+    found = {}
+    for r in merged:
+        found.setdefault((r.h, r.joined), []).append(r.s)
+    assert sorted(found) == [(9, True), (20, False), (21, False)]
+    assert sorted(found[9, True]) == list(range(10))
+    assert sorted(found[20, False]) == [30, 31, 32] and sorted(found[21, False]) == [30, 41, 42]
