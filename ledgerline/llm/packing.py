@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import re
 import unicodedata
 import zlib
@@ -47,9 +48,17 @@ class WordIds:
 
     White space only separates, so each stretch between white space is encoded
     once, and each distinct word in it once, by the tokenizer's own model.
+    ``encode`` takes plain text, ``encode_raw`` also finds the added tokens.
     """
 
     def __init__(self, definition: bytes):
+        self.added: dict[str, bytes] = {}
+        for token in json.loads(definition).get("added_tokens", ()):
+            if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+                raise ValueError(f"added token {token['content']!r} is not matched literally")
+            self.added[token["content"]] = token["id"].to_bytes(4, "little")
+        literals = sorted(self.added, key=len, reverse=True)  # at one place the longest counts
+        self.cut = re.compile("(" + "|".join(map(re.escape, literals)) + ")") if literals else None
         self.model = Tokenizer.from_buffer(definition).model
         self.words = regex.compile(WORDS)
         self.letters = _byte_letters()
@@ -90,6 +99,13 @@ class WordIds:
         parts = text.split() if not _SEPARATORS.search(text) else _SPACE.split(text)
         return b"".join([x if (x := self.of_stretch.get(p)) is not None else self._stretch(p) for p in parts])
 
+    def encode_raw(self, text: str) -> bytes:
+        """As the tokenizer does by default: added tokens written out in the raw text are their own ids."""
+        if self.cut is None or not any(literal in text for literal in self.added):
+            return self.encode(text)
+        parts = self.cut.split(text)
+        return b"".join([self.added[p] if k % 2 else self.encode(p) for k, p in enumerate(parts)])
+
 
 _encoders: dict[str, WordIds] = {}
 
@@ -142,7 +158,7 @@ def tokenize_pieces(
         for batch in batches:
             rows, starts, lengths, sums, totals, pieces = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                ids = encoder.encode(text.as_py()) + end
+                ids = encoder.encode_raw(text.as_py()) + end
                 total = len(ids) // 4
                 for start, length in cut_lengths(total, window, tiers):
                     piece = ids[4 * start : 4 * (start + length)]
