@@ -7,22 +7,25 @@ programming over its characters. Costs are decimal logarithms of guesses.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import ship, whole_text
+from ledgerline.llm.common import discard, ship, stored, whole_text
 
 #: Guesses (log10) from which a credential value counts as a secret.
 MIN_GUESSES = 8.0
 #: Shorter values are not judged.
 MIN_VALUE = 6
-#: Longest dictionary word looked for.
-MAX_WORD = 16
 #: log10 of the choice where the next segment begins and of which kind it is.
 SEGMENT = math.log10(20)
 
@@ -48,7 +51,10 @@ CONTEXT_KEYWORDS = (
     "credential", "accesskey", "access_key",
 )
 
-#: Words by how early a guesser tries them.
+#: The same as Spark reads it, with what comes before the value as a group.
+_CONTEXT_JAVA = "(?i)({}){}".format(*CONTEXT.pattern[:-1].rsplit("(", 1))
+
+#: Words that a guesser tries first; those of the documents come by their count.
 COMMON_WORDS = (
     "password", "admin", "letmein", "welcome", "login", "user", "root", "test", "guest", "secret",
     "master", "dragon", "monkey", "sunshine", "princess", "football", "shadow", "hello", "love",
@@ -71,6 +77,29 @@ class Segment(NamedTuple):
     cost: float
 
 
+class WordRanks:
+    """Ranks of words by 64-bit hash in sorted arrays, 12 bytes a word, and of a few words by name."""
+
+    def __init__(self, first: dict[str, int], words: pa.ChunkedArray, ranks: np.ndarray):
+        self.first = first
+        hashes = np.fromiter((_hash(w.as_py()) for w in words), np.uint64, len(words))
+        order = np.argsort(hashes)
+        self.hashes = array("Q", hashes[order].tobytes())
+        self.ranks = array("I", ranks[order].astype(np.uint32).tobytes())
+        self.lengths = sorted({len(w) for w in first}.union(pc.unique(pc.utf8_length(words)).to_pylist()))
+
+    def get(self, word: str) -> int | None:
+        rank, key = self.first.get(word), _hash(word)
+        at = bisect_left(self.hashes, key)
+        if at < len(self.hashes) and self.hashes[at] == key:
+            return self.ranks[at] if rank is None else min(rank, self.ranks[at])
+        return rank
+
+
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 def _walk_ends(text: str) -> list[int]:
     """For each position, where the keyboard walk or sequence beginning there ends."""
     ends = list(range(1, len(text) + 1))
@@ -80,11 +109,10 @@ def _walk_ends(text: str) -> list[int]:
     return ends
 
 
-_DATE = re.compile(
-    r"(?:(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
-    r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d)"
-)
-_REPEAT = re.compile(r"(.{1,8}?)\1+", re.DOTALL)
+_MONTH, _DAY = "(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+_DATES = [re.compile(form) for form in (
+    rf"(?:19|20)\d\d[-/._]?{_MONTH}[-/._]?{_DAY}", rf"{_DAY}[-/._]?{_MONTH}[-/._]?(?:19|20)\d\d", r"(?:19|20)\d\d",
+)]
 
 
 def _alphabet(text: str) -> float:
@@ -94,12 +122,16 @@ def _alphabet(text: str) -> float:
     return math.log10(max(size, 2))
 
 
-def cheapest_segments(value: str, words: dict[str, int]) -> tuple[float, list[Segment]]:
+def cheapest_segments(
+    value: str, words: dict[str, int] | WordRanks, least: float = math.inf
+) -> tuple[float, list[Segment]]:
     """The least log10 of guesses for a value, and the segments that give it.
 
     Every brute-force character costs the same, so a brute-force span is grown
-    character by character; every other segment also pays ``SEGMENT``. Time is
-    linear in the value's length.
+    character by character; every other segment, and a brute-force span after
+    one, also pays ``SEGMENT``. All words, dates, repeats and walks at each
+    place are offered, but for those that a longer or simpler one undercuts. Prefixes that
+    cost ``least`` go no further; where all do, the answer is (inf, []).
     """
     n = len(value)
     lower = value.lower()
@@ -107,48 +139,85 @@ def cheapest_segments(value: str, words: dict[str, int]) -> tuple[float, list[Se
     plain = lower.translate(LOOKALIKES)
     per_character = _alphabet(value)
     walks = _walk_ends(lower)
-    dates = {m.start(): m.end() for i in range(n) if value[i] in "0123" if (m := _DATE.match(value, i))}
-    best = [0.0] + [math.inf] * n
-    via: list[Segment | None] = [None] * (n + 1)
-
-    def offer(start, end, kind, cost):
-        total = best[start] + cost
-        if total < best[end]:
-            best[end], via[end] = total, Segment(start, end, kind, cost)
+    lengths = words.lengths if isinstance(words, WordRanks) else sorted({len(w) for w in words})
+    runs: dict[int, tuple[int, int]] = {}  # unit -> the last run of that period
+    # A prefix ends in a brute-force span or in another segment; its next brute-force character costs accordingly.
+    brute, other = [math.inf] * (n + 1), [math.inf] * (n + 1)
+    via: list[Segment | None] = [None] * (n + 1)  # what gave other
+    run_of: list[tuple | None] = [None] * (n + 1)  # the run that a repeat or walk in via lies in
+    other[0] = 0.0
+
+    def offer(start, end, kind, cost, run=None):
+        total = best + cost
+        if total < other[end] and total < least:
+            other[end], via[end], run_of[end] = total, Segment(start, end, kind, cost), run
+
+    def run_end(i, unit):
+        start, end = runs.get(unit, (0, 0))
+        if not start <= i <= end - 2 * unit:
+            at = i
+            while at + unit < n and value[at] == value[at + unit]:
+                at += 1
+            end = at + unit
+            runs[unit] = (i, end)
+        return end
 
-    repeats = {m.start(): m for m in _REPEAT.finditer(value) if m.end() - m.start() >= 3}
     for i in range(n):
-        before = via[i]
-        opens = SEGMENT if before is None or before.kind != "brute" else 0.0
-        offer(i, i + 1, "brute", per_character + (opens if i else 0.0))
-        for j in range(i + 3, min(n, i + MAX_WORD) + 1):
+        best = min(brute[i], other[i])
+        if best >= least:
+            continue
+        one = per_character + min(brute[i], other[i] + (SEGMENT if i else 0.0))
+        if one < least:
+            brute[i + 1] = one
+        # Going on with a run costs less than beginning it anew.
+        within = run_of[i] if other[i] <= brute[i] else None
+        for size in lengths:
+            j = i + size
+            if j > n:
+                break
             rank = words.get(lower[i:j])
-            swapped = words.get(plain[i:j]) if rank is None else None
-            if rank is not None or swapped is not None:
-                cost = math.log10((rank or swapped) + 1)
-                cost += math.log10(2) * (value[i:j] != lower[i:j]) + math.log10(4) * (rank is None)
-                offer(i, j, "word", cost + SEGMENT)
-        if i in dates:
-            offer(i, dates[i], "date", math.log10(365 * 120 * 4 if dates[i] - i > 4 else 120) + SEGMENT)
-        if i in repeats:
-            match = repeats[i]
-            unit, end = match[1], match.end()
-            offer(i, end, "repeat", len(unit) * per_character + math.log10((end - i) // len(unit)) + SEGMENT)
-        if walks[i] - i >= 3:
-            offer(i, walks[i], "walk", math.log10(100 * (walks[i] - i)) + SEGMENT)
+            cost = math.inf if rank is None else math.log10(rank + 1)
+            if plain[i:j] != lower[i:j] and (swapped := words.get(plain[i:j])) is not None:
+                cost = min(cost, math.log10(swapped + 1) + math.log10(4))
+            if cost < math.inf:
+                offer(i, j, "word", cost + math.log10(2) * (value[i:j] != lower[i:j]) + SEGMENT)
+        if value[i] in "0123":
+            for match in filter(None, (form.match(value, i) for form in _DATES)):
+                guesses = 365 * 120 * 4 if match.end() - i > 4 else 120
+                offer(i, match.end(), "date", math.log10(guesses) + SEGMENT)
+        for unit in range(1, (n - i) // 2 + 1):
+            fixed = unit * per_character + SEGMENT
+            if best + fixed >= least:
+                break
+            part = value[i : i + unit]
+            if value[i + unit : i + 2 * unit] != part or part in (part + part)[1:-1]:
+                continue  # no repeat, or one of a shorter unit
+            end = run_end(i, unit)
+            if within != (unit, end):
+                for copies in range(2, (end - i) // unit + 1):
+                    offer(i, i + copies * unit, "repeat", fixed + math.log10(copies), (unit, end))
+        if within != ("walk", walks[i]):
+            for j in range(i + 3, walks[i] + 1):
+                offer(i, j, "walk", math.log10(100 * (j - i)) + SEGMENT, ("walk", walks[i]))
+    total = min(brute[n], other[n])
+    if total == math.inf:
+        return total, []
     segments: list[Segment] = []
-    at = n
+    at, grown = n, brute[n] < other[n]
     while at:
-        step = via[at]
-        if segments and step.kind == "brute" == segments[-1].kind:
-            last = segments.pop()
-            step = Segment(step.start, last.end, "brute", step.cost + last.cost)
-            segments.append(step)
-            at = step.start
+        if not grown:
+            segments.append(via[at])
+            at = via[at].start
+            grown = brute[at] < other[at]
             continue
-        segments.append(step)
-        at = step.start
-    return best[n], segments[::-1]
+        end, cost = at, 0.0
+        while grown:
+            at -= 1
+            opens = SEGMENT if at else 0.0
+            grown = brute[at] < other[at] + opens
+            cost += per_character + (0.0 if grown else opens)
+        segments.append(Segment(at, end, "brute", cost))
+    return total, segments[::-1]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -173,7 +242,7 @@ def guess_spans(text: str, words: dict[str, int], least: float = MIN_GUESSES) ->
     found = []
     for match in CONTEXT.finditer(text):
         value = match[1].rstrip(".!?:)")
-        if len(value) >= MIN_VALUE and cheapest_segments(value, words)[0] >= least:
+        if len(value) >= MIN_VALUE and cheapest_segments(value, words, least)[0] >= least:
             found.append(("guess", match.start(1), match.start(1) + len(value)))
     return found
 
@@ -187,6 +256,33 @@ def word_ranks(words: Sequence[str] = COMMON_WORDS) -> dict[str, int]:
     return {word: rank for rank, word in reversed(list(enumerate(words, 1)))}
 
 
+def corpus_ranks(
+    docs: DataFrame, text_col: str = "text", words: Sequence[str] = COMMON_WORDS, least: float = MIN_GUESSES,
+) -> WordRanks:
+    """Ranks of all words of the documents by count, and of ``words`` by order; the lower one counts.
+
+    A word is a run of letters, in lower case. Those in credential values are
+    not counted, or each secret would be a known word. A word's rank is the
+    number of words that come as often or oftener. A word whose own cost
+    reaches ``least`` cannot bring a value below it, so only ranks under
+    10^(least - SEGMENT) are kept: 5 million by default, 60 MB at most.
+    """
+    prose = F.regexp_replace(whole_text(text_col), _CONTEXT_JAVA, "$1 ")
+    parts = docs.select(F.explode(F.split(F.lower(prose), r"[^\p{L}]+")).alias("word"))
+    counts = stored(parts.where("word <> ''").groupBy("word").count(), "words")
+    totals = sorted((tuple(r) for r in counts.groupBy("count").agg(F.count("*")).collect()), reverse=True)
+    of_count, rank = {}, 0
+    for times, size in totals:
+        rank += size
+        if math.log10(rank + 1) + SEGMENT >= least:
+            break
+        of_count[times] = rank
+    kept = counts.where(F.col("count") >= min(of_count, default=math.inf)).toArrow()
+    discard(counts)
+    ranks = np.fromiter(map(of_count.get, kept["count"].to_pylist()), np.int64, len(kept))
+    return WordRanks(word_ranks(words), kept["word"], ranks)
+
+
 def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: Sequence[str] = COMMON_WORDS, least: float = MIN_GUESSES,
@@ -195,13 +291,16 @@ def scan_secrets(
 
     Offsets are in code points, the end exclusive; spans go by start, then
     kind. NULL text is empty and has none. Repeated rows repeat; no rows in, no
-    rows out. One narrow pass; ``words`` (most guessed first) goes with the tasks.
+    rows out. The words of all documents are counted first (``corpus_ranks``,
+    ``words`` are those guessed first), then one narrow pass scans the texts.
     """
-    ship(docs.sparkSession)
-    ranks = word_ranks(words)
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(corpus_ranks(docs, text_col, words, least))  # at most 60 MB by default
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
         for batch in batches:
             found = [
                 [dict(zip(("kind", "start", "end"), s)) for s in find_spans(text.as_py(), ranks, least)]
@@ -233,11 +332,13 @@ def redact_secrets(
     least: float = MIN_GUESSES, mark: str = "<secret>",
 ) -> DataFrame:
     """The same rows and columns with the secrets in the text replaced; NULL stays NULL."""
-    ship(docs.sparkSession)
-    ranks = word_ranks(words)
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(corpus_ranks(docs, text_col, words, least))  # at most 60 MB by default
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
         for batch in batches:
             texts = [
                 None if (text := value.as_py()) is None else redact(text, find_spans(text, ranks, least), mark)
