@@ -8,8 +8,9 @@ import json
 import re
 import unicodedata
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -24,6 +25,8 @@ WINDOW = 4096
 #: Context sizes, longest first; each halves the one before.
 TIERS = (4096, 2048, 1024, 512)
 END_ID = 2
+#: Parts that a cut should not fall below, in ids.
+SHORT_PART = 64
 #: Windows packed by one task call.
 GROUP_WINDOWS = 256
 #: Sequences of one training step.
@@ -137,14 +140,28 @@ def cut_lengths(total: int, window: int = WINDOW, tiers=TIERS) -> list[tuple[int
     return pieces + [(at, total - at)] * (at < total)
 
 
+def to_planes(ids: bytes) -> bytes:
+    """First bytes of all ids, then second ones and so on; the upper ones compress to nothing."""
+    return ids[0::4] + ids[1::4] + ids[2::4] + ids[3::4]
+
+
+def from_planes(planes: bytes, start: int, length: int) -> bytes:
+    """Ids from ``start`` on."""
+    count, ids = len(planes) // 4, bytearray(4 * length)
+    for k in range(4):
+        ids[k::4] = planes[k * count + start : k * count + start + length]
+    return bytes(ids)
+
+
 def tokenize_pieces(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-    window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, tiers=TIERS,
+    window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, tiers=TIERS, with_planes: bool = False,
 ) -> DataFrame:
     """Ids of every whole text plus ``end_id``, cut into pieces.
 
     Columns: id, ``start``, ``length``,
-    ``ids_crc32``, ``doc_tokens`` and, on request, ``ids``. Documents that fit a
+    ``ids_crc32``, ``doc_tokens`` and, on request, ``ids`` and ``_planes``, the
+    ids as ``to_planes`` writes them. Documents that fit a
     window stay whole; the others are cut by ``cut_lengths``.
     """
     spark = docs.sparkSession
@@ -156,7 +173,7 @@ def tokenize_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value)
         for batch in batches:
-            rows, starts, lengths, sums, totals, pieces = [], [], [], [], [], []
+            rows, starts, lengths, sums, totals, pieces, planes = [], [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
                 ids = encoder.encode_raw(text.as_py()) + end
                 total = len(ids) // 4
@@ -169,16 +186,20 @@ def tokenize_pieces(
                     totals.append(total)
                     if with_ids:
                         pieces.append(pa.array(memoryview(piece).cast("I").tolist(), pa.int32()))
+                    if with_planes:
+                        planes.append(to_planes(piece))
             taken = batch.column(0).take(pa.array(rows, pa.int64()))
             columns = [taken, *[pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]]
             if with_ids:
                 columns.append(pa.array([p.to_pylist() for p in pieces], pa.list_(pa.int32())))
+            if with_planes:
+                columns.append(pa.array(planes, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
+    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids, *["_planes"] * with_planes]
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    schema += ", ids array<int>" if with_ids else ""
+    schema += ", ids array<int>" * with_ids + ", _planes binary" * with_planes
     return docs.select(id_col, whole_text(text_col)).mapInArrow(run, schema)
 
 
@@ -187,35 +208,57 @@ def tier_of(length: int, tiers=TIERS) -> int:
     return min((t for t in tiers if t >= length), default=tiers[0])
 
 
-def pack_group(lengths: list[int], window: int = WINDOW, tiers=TIERS) -> tuple[list[int], list[int]]:
-    """Sequence number and offset of each piece of one group.
+class Part(NamedTuple):
+    """``length`` ids of a piece from ``start`` on, in a window of ``tier`` ids of a sequence."""
+
+    piece: int
+    start: int
+    length: int
+    sequence: int
+    offset: int
+    tier: int
+
+
+def pack_group(lengths: list[int], window: int = WINDOW, tiers=TIERS) -> list[Part]:
+    """Where the pieces of one group go; only the last sequence is partly empty.
 
-    Tiers are packed longest first. A piece goes where the least room is left
-    over among the open windows, so that pieces of the shorter tiers fill the
-    gaps of the windows that longer ones have opened. A new window opens only
-    where no open one has room.
+    Tiers are packed longest first, each into windows of its own size: the
+    longest piece left opens a window of its tier, and pieces of the shorter
+    tiers fill the gap, longest first. Where the gap would be padded or left
+    all but full, a piece longer than it is cut: the shortest that leaves
+    ``SHORT_PART`` ids, so that long ones stay whole, or else the longest. The
+    rest joins the tier of its own length. Sizes of windows halve and never
+    grow, so they tile the sequences.
     """
-    by_room: dict[int, list[int]] = {}  # room left -> open windows
-    rooms: list[int] = []  # sorted distinct rooms
-    sequence, offset, count = [0] * len(lengths), [0] * len(lengths), 0
-    order = sorted(range(len(lengths)), key=lambda i: (-tier_of(lengths[i], tiers), -lengths[i], i))
-    for i in order:
-        at = bisect_left(rooms, lengths[i])
-        if at < len(rooms):
-            room = rooms[at]
-            number = by_room[room].pop()
-            if not by_room[room]:
-                del by_room[room], rooms[at]
-        else:
-            room, number, count = window, count, count + 1
-        sequence[i], offset[i] = number, window - room
-        left = room - lengths[i]
-        if left:
-            if left not in by_room:
-                by_room[left] = []
-                insort(rooms, left)
-            by_room[left].append(number)
-    return sequence, offset
+    tiers = (window, *[t for t in sorted(tiers, reverse=True) if t < window and window % t == 0])
+    waiting: dict[int, list[tuple[int, int]]] = {}  # length -> (piece, start)
+    for i in reversed(range(len(lengths))):
+        waiting.setdefault(lengths[i], []).append((i, 0))
+    sizes = sorted(waiting)
+    parts: list[Part] = []
+    at = room = tier = 0
+    while sizes:
+        if not room:
+            room = tier = tier_of(sizes[-1], tiers)
+        fit = bisect_right(sizes, room) - 1
+        left = room - sizes[fit] if fit >= 0 else room
+        whole = fit == len(sizes) - 1 or fit >= 0 and (
+            left == 0 or left >= SHORT_PART or len(waiting.get(left, ())) > (left == sizes[fit]))
+        chosen = fit if whole else min(bisect_left(sizes, room + SHORT_PART), len(sizes) - 1)
+        size = sizes[chosen]
+        piece, start = waiting[size].pop()
+        if not waiting[size]:
+            del waiting[size], sizes[chosen]
+        length = min(size, room)
+        parts.append(Part(piece, start, length, at // window, at % window, tier))
+        if size > length:
+            if size - length not in waiting:
+                waiting[size - length] = []
+                insort(sizes, size - length)
+            waiting[size - length].append((piece, start + length))
+        at += length
+        room -= length
+    return parts
 
 
 def balanced_steps(tokens: list[int], per_step: int = STEP_SEQUENCES) -> list[int]:
@@ -236,35 +279,41 @@ def balanced_steps(tokens: list[int], per_step: int = STEP_SEQUENCES) -> list[in
 def pack_pieces(
     pieces: DataFrame, window: int = WINDOW, group_windows: int = GROUP_WINDOWS, id_col: str = "doc_id"
 ) -> DataFrame:
-    """Add ``sequence_id``, ``offset``, ``tier`` and ``step_group`` to pieces.
+    """Cut and place pieces that come with ``_planes``; ``sequence_id``, ``offset``, ``tier`` and ``step_group`` take its place.
 
     Pieces are dealt into groups of about ``group_windows`` windows by a hash
     of id, start and check sum, whatever document or source they come from.
-    Full windows are dealt likewise. A group leaves at most about one window
-    partly empty.
+    Full windows are dealt likewise. A group leaves at most one sequence
+    partly empty. Ids move with the pieces, as the parts of a cut piece need
+    check sums of their own.
     """
     total = pieces.agg(F.sum("length").alias("n")).first()["n"] or 0
     groups = max(1, round(total / (window * group_windows)))
     salt = F.xxhash64(id_col, "start", "ids_crc32", "doc_tokens")
     dealt = pieces.withColumn("_group", F.pmod(salt, F.lit(groups)))
     schema = T.StructType([
-        *dealt.schema.fields, T.StructField("sequence_id", T.LongType()),
+        *[f for f in dealt.schema.fields if f.name != "_planes"], T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType()), T.StructField("tier", T.IntegerType()),
         T.StructField("step_group", T.LongType()),
     ])
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([id_col, "start", "ids_crc32", "doc_tokens"], kind="stable")
-        lengths = frame["length"].tolist()
-        sequence, offset = pack_group(lengths, window)
-        filled = [0] * (max(sequence) + 1)
-        for number, length in zip(sequence, lengths):
-            filled[number] += length
+        lengths, sums, planes = frame["length"].tolist(), frame["ids_crc32"].tolist(), frame["_planes"].tolist()
+        parts = pack_group(lengths, window)
+        filled = [0] * (parts[-1].sequence + 1)
+        for part in parts:
+            filled[part.sequence] += part.length
         steps = balanced_steps(filled)
         first = int(frame["_group"].iloc[0]) << 32
-        return frame.assign(
-            sequence_id=[first + s for s in sequence], offset=offset,
-            tier=[tier_of(n) for n in lengths], step_group=[first + steps[s] for s in sequence],
+        placed = frame.drop(columns="_planes").iloc[[p.piece for p in parts]]
+        return placed.assign(
+            start=[s + p.start for s, p in zip(placed["start"].tolist(), parts)], length=[p.length for p in parts],
+            ids_crc32=[
+                sums[p.piece] if p.length == lengths[p.piece]
+                else zlib.crc32(from_planes(planes[p.piece], p.start, p.length)) for p in parts],
+            sequence_id=[first + p.sequence for p in parts], offset=[p.offset for p in parts],
+            tier=[p.tier for p in parts], step_group=[first + steps[p.sequence] for p in parts],
         )
 
     return dealt.groupBy("_group").applyInPandas(pack, schema).drop("_group")
@@ -276,10 +325,10 @@ def pack_documents(
     """Pack all documents into sequences of at most 4096 ids.
 
     One row per piece: id, ``start``, ``length``, ``ids_crc32``,
-    ``doc_tokens``, ``sequence_id``, ``offset``, ``tier`` (context size its
-    length belongs to) and ``step_group``. NULL and empty texts are one piece
+    ``doc_tokens``, ``sequence_id``, ``offset``, ``tier`` (context size of the
+    window it lies in) and ``step_group``. NULL and empty texts are one piece
     holding the end id. Repeated rows are packed as often as they come. No
-    rows, no pieces. Texts are tokenized once; only the slim pieces move.
+    rows, no pieces. Texts are tokenized once; the ids move with their pieces.
     """
-    pieces = stored(tokenize_pieces(docs, tokenizer_path, id_col, text_col), "pieces")
+    pieces = stored(tokenize_pieces(docs, tokenizer_path, id_col, text_col, with_planes=True), "pieces")
     return pack_pieces(pieces, id_col=id_col)

@@ -83,3 +83,43 @@ def test_guess_cost_is_the_minimum():
         assert abs(total - sum(s.cost for s in segments)) < 1e-9, value
         bounded = secret_scan.cheapest_segments(value, words, 8.0)[0]
         assert (bounded < 8.0) == (total < 8.0), value
+
+
+def check_tiers(parts, lengths):
+    """Parts cover the pieces once, follow each other, stay in their windows and leave only the last one open."""
+    at = 0
+    for p in parts:
+        assert p.sequence * 4096 + p.offset == at and p.offset // p.tier == (p.offset + p.length - 1) // p.tier
+        at += p.length
+    for i, length in enumerate(lengths):
+        own = sorted((p.start, p.length) for p in parts if p.piece == i)
+        assert [s for s, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))]
+        assert sum(n for _, n in own) == length
+    tiers = [p.tier for p in parts]
+    assert tiers == sorted(tiers, reverse=True)
+    return tiers
+
+
+def test_tiers_have_windows_of_their_own():
+    rng = random.Random(6)
+    for top in (300, 900, 2000, 4096):
+        lengths = [rng.randint(1, top) for _ in range(800)]
+        parts = packing.pack_group(lengths)
+        tiers = check_tiers(parts, lengths)
+        assert max(tiers) == packing.tier_of(max(lengths))
+    assert len(set(tiers)) > 1
+    for n in (2100, 2900, 4000):
+        assert set(check_tiers(packing.pack_group([n] * 300), [n] * 300)) >= {4096}
+
+
+def test_equal_lengths_above_half_a_window_are_not_padded(spark):
+    tokenizer = Tokenizer.from_file(WORD)
+    rows = [(i, " ".join(["the", str(i % 10)] * 1050)) for i in range(200)]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), WORD).collect()
+    total = sum(r["length"] for r in got)
+    assert total == 200 * 2101
+    assert len({r["sequence_id"] for r in got}) == -(-total // 4096)
+    for r in got:
+        ids = tokenizer.encode(rows[r["doc_id"]][1], add_special_tokens=False).ids + [packing.END_ID]
+        part = ids[r["start"] : r["start"] + r["length"]]
+        assert r["doc_tokens"] == 2101 and r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
