@@ -13,7 +13,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerline.session import fresh_dir
+from ledgerline.sources.files import store
+
 CELLS = 512
+_INDEX_BITS = 33  # of a monotonically increasing id: the row's index in its partition
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -94,3 +98,29 @@ def quantiles(
     return running.groupBy(*by).agg(
         *[pick(value, share).cast("double").alias(name) for name, share in shares.items()]
     )
+
+
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
+    """Add the place of each row in the whole table's order, from 1, with no task that holds it all.
+
+    Rows are partitioned by range and sorted within; each place is the index in
+    the partition plus the rows of the partitions before, of which there are
+    ``spark.sql.shuffle.partitions``. Rows that the order leaves equal, however
+    many, are told apart by their place in the input, which should be a stored
+    table: it is read once for the ranges and once for the rows. An empty
+    table stays empty.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*order, F.col("_tie")]
+    # Sorted in the partitions first, numbered next: the id holds partition and index.
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(
+        parts, *order).sortWithinPartitions(*order).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    rows = store(numbered, fresh_dir(spark, "row-numbers")).withColumn(
+        "_part", F.shiftright("_at", _INDEX_BITS))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    index = F.col("_at").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
+    return rows.join(F.broadcast(before), "_part").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + index + 1).alias(name))

@@ -105,9 +105,10 @@ def test_shared_dir_follows_the_session(spark):
 
 def test_session_settings(spark):
     assert session.build_session("again").sparkContext is spark.sparkContext
-    sibling = session.stream_session(spark)
-    assert sibling.conf.get("spark.sql.shuffle.partitions") == str(
-        max(4, spark.sparkContext.defaultParallelism))
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    assert session.stream_session(spark).conf.get("spark.sql.shuffle.partitions") == own
+    assert session.stream_session(spark, 7).conf.get("spark.sql.shuffle.partitions") == "7"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == own
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
