@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, packing, secret_scan, sharding, shingle_join, suffix_dedup,
-    toxicity, url_filter,
+    byte_bpe, embedding_dedup, exact_dedup, packing, periodic_runs, quality_trees, secret_scan, sharding, shingle_join,
+    suffix_dedup, target_resampling, toxicity, url_filter,
 )
 from ledgerline.llm.common import documents, whole_text
 
@@ -92,6 +92,24 @@ def op10(spark, folder):
     return shingle_join.jaccard_components(documents(spark, folder))
 
 
+@query("op11_quality_trees")
+def op11(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = quality_trees.judge_quality(documents(spark, folder), labels)
+    return judged.withColumn("p_good", F.round("p_good", 6))
+
+
+@query("op12_target_resampling")
+def op12(spark, folder):
+    return target_resampling.resample(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, folder):
+    found = periodic_runs.run_digests(documents(spark, folder), prepare=periodic_runs.repeat_tail)
+    return found.drop("runs", "collapsed")
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_rules": """
         WITH cut AS (
@@ -121,4 +139,46 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_target_resampling": r"""
+        WITH bits AS (
+            SELECT list(list_reduce([n, 1, 2, 3, 4, 5, 6, 7, 8],
+                        lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+            FROM (SELECT unnest(range(256)) AS n)
+        ), texts AS (
+            SELECT 'd' AS side, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+            UNION ALL
+            SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+            FROM benchmark
+        ), words AS (
+            SELECT side, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+        ), hashed AS (
+            SELECT word, xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))),
+                           lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+            FROM (SELECT DISTINCT word FROM words), bits
+        ), counted AS (
+            SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+            FROM words JOIN hashed USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+            FROM counted
+        ), weights AS (
+            SELECT doc_id, count(*) AS n_features, sum(gain) AS total
+            FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(floor(total / n_features), 0)::BIGINT AS weight,
+                   weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                 / 4294967296)))::BIGINT AS score
+            FROM documents LEFT JOIN weights USING (doc_id)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                   count(*) FILTER (n_features >= 20) OVER () AS able
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank
+        FROM placed
+    """,
 }
