@@ -11,7 +11,7 @@ from ledgerline.sources.files import store
 
 def test_row_numbers_are_gapless_and_in_order(spark):
     rng = random.Random(3)
-    rows = [(i, rng.choice([None, 1.5, 2.5, *range(40)])) for i in range(4000)]
+    rows = [(i, rng.choice([None, 1.5, 2.5, *map(float, range(40))])) for i in range(4000)]
     df = store(spark.createDataFrame(rows, "k int, v double").repartition(7), fresh_dir(spark, "order"))
     got = ordered.row_numbers(df, [F.desc_nulls_last("v"), F.asc("k")]).collect()
     want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
