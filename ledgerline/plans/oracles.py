@@ -8,7 +8,7 @@ from ledgerline.sources.standin import CAMPAIGN_COLUMNS_SQL, STANDIN_SECTORS
 _CAMPAIGN = CAMPAIGN_COLUMNS_SQL.format(orders="orders", customer="customer")
 
 _BASE = f"""
-WITH campaign AS (SELECT * RENAME (in_default AS "default") FROM ({_CAMPAIGN})),
+WITH RECURSIVE campaign AS (SELECT * RENAME (in_default AS "default") FROM ({_CAMPAIGN})),
 bank AS (
   SELECT row_id, age, nullif(job, 'unknown') AS job, marital,
     nullif(education, 'unknown') AS education,
@@ -150,6 +150,61 @@ FROM (SELECT *, time_bucket(INTERVAL '{seconds} seconds', txn_time) AS window_st
 GROUP BY window_start, job"""
 
 
+_SLIDING = """
+SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, job, count(*) AS n_txn,
+  round(sum(amount), 2) AS total_amount, count(*) FILTER (amount > 100) AS n_suspicious
+FROM (SELECT job, amount, time_bucket(INTERVAL '10 seconds', txn_time) - i * INTERVAL '10 seconds' AS window_start
+      FROM txn, range(6) AS r(i))
+GROUP BY window_start, job"""
+
+
+def _zscore(days: int) -> str:
+    return f"""
+, cents AS (SELECT *, CAST(round(amount * 100) AS HUGEINT) AS v FROM txn),
+hist AS (SELECT txn_id, account_id, v, count(v) OVER w AS n_before, sum(v) OVER w AS s, sum(v * v) OVER w AS q FROM cents
+  WINDOW w AS (PARTITION BY account_id ORDER BY txn_time
+    RANGE BETWEEN INTERVAL '{days} days' PRECEDING AND INTERVAL '1 microsecond' PRECEDING)),
+scored AS (SELECT *, s / n_before AS m, n_before * q - s * s AS spread FROM hist)
+SELECT txn_id, account_id, n_before, round(m / 100, 6) AS mean_before,
+  CASE WHEN spread > 0 THEN round((v - m) / sqrt(spread / (n_before * (n_before - 1))), 6) END AS zscore,
+  CAST(coalesce(abs((v - m) / sqrt(nullif(greatest(spread, 0), 0) / (n_before * (n_before - 1)))) > 3, false) AS INT)
+    AS unusual
+FROM scored"""
+
+
+_CONTACTS = """
+, contact AS (SELECT o_orderkey AS row_id, o_custkey AS client_id, CAST(o_orderdate AS DATE) AS contact_date,
+    o_totalprice AS amount, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders)
+"""
+_RATE_LIMIT = _CONTACTS + """
+, chain AS (
+  SELECT client_id, min(contact_date) AS d FROM contact GROUP BY client_id
+  UNION ALL
+  SELECT chain.client_id, min(contact_date) FROM chain JOIN contact ON contact.client_id = chain.client_id
+    AND contact_date >= d + INTERVAL '90 days' GROUP BY chain.client_id),
+first AS (SELECT client_id, contact_date, min(row_id) AS row_id FROM contact JOIN chain USING (client_id)
+  WHERE contact_date = d GROUP BY client_id, contact_date)
+SELECT row_id, client_id, contact_date, row_id IN (SELECT row_id FROM first) AS allowed FROM contact
+"""
+
+_CURVE = """
+, step AS (SELECT score, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM scored GROUP BY score),
+curve AS (SELECT score AS threshold, pos, CAST(sum(pos) OVER above AS BIGINT) AS tp, CAST(sum(neg) OVER above AS BIGINT) AS fp,
+    CAST(sum(pos) OVER () - tp AS BIGINT) AS fn, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall
+  FROM step WINDOW above AS (ORDER BY score DESC))
+"""
+_ROUNDED_CURVE = "round(threshold, 8) AS threshold, round(precision, 8) AS precision, round(recall, 8) AS recall"
+_LIFT = """
+, part AS (SELECT *, CAST(ntile(10) OVER (ORDER BY score DESC, row_id) AS INT) AS part FROM scored),
+per AS (SELECT part, count(*) AS n, count(*) FILTER (y = 1) AS n_positive, max(score) AS highest, min(score) AS lowest
+  FROM part GROUP BY part)
+SELECT part, n, n_positive, round(n_positive / n, 8) AS rate,
+  round(n_positive / n * sum(n) OVER () / sum(n_positive) OVER (), 8) AS lift,
+  round(sum(n_positive) OVER (ORDER BY part) / sum(n_positive) OVER (), 8) AS captured,
+  round(highest, 8) AS highest, round(lowest, 8) AS lowest FROM per
+"""
+
+
 def _closed(windows: str) -> str:
     return (f"SELECT * FROM ({windows}) WHERE window_end <= "
             "(SELECT max(txn_time) FROM txn) - INTERVAL '2 minutes'")
@@ -278,6 +333,12 @@ def build() -> dict[str, str]:
         "wh_report_job": by_job,
         "wh_sql_report": f"SELECT \"default\", age_bucket, {_N}, {_RATE} FROM bank WHERE month IN"
                          " ('may', 'jun', 'jul') AND job IS NOT NULL GROUP BY \"default\", age_bucket",
+        "wh_bucketed_join": _CONTACTS + """
+SELECT year, lower(c_mktsegment) AS job, count(*) AS n_contacts, round(sum(amount), 2) AS total_amount,
+  round(avg(c_acctbal), 4) AS avg_balance FROM contact JOIN customer ON client_id = c_custkey GROUP BY 1, 2""",
+        "wh_bucketed_client": _CONTACTS + "SELECT row_id, contact_date, year, month FROM contact"
+                                          " WHERE client_id = 7 AND year IN (1996, 1997, 1998)",
+        "contact_rate_limit": _RATE_LIMIT,
         # cleaning
         "clean_sentinel_null": "SELECT row_id, job, education, contact, poutcome FROM bank",
         "clean_pdays": "SELECT row_id, pdays, never_contacted_before FROM bank",
@@ -395,6 +456,14 @@ def build() -> dict[str, str]:
         "txn_window_hourly": _windows(3600),
         "txn_job_rollup": "SELECT job, round(sum(amount), 2) AS total_amount, count(*) AS n_txn,"
                           " count(*) FILTER (amount > 100) AS n_suspicious FROM txn GROUP BY job",
+        "txn_window_sliding": _SLIDING,
+        "txn_zscore_30d": _zscore(30),
+        "txn_zscore_7d": _zscore(7),
+        "stream_sliding": _closed(_SLIDING),
+        "stream_two_sinks": "SELECT sink, job, count(*) AS n_txn, round(sum(amount), 2) AS total_amount,"
+                            " count(*) FILTER (amount > 100) AS n_suspicious, max(txn_time) AS newest"
+                            " FROM txn, (VALUES ('archive'), ('downstream')) AS s(sink) GROUP BY sink, job",
+        "stream_scored": "SELECT row_id, y, true AS same_score FROM bank",
         "stream_append": _closed(_windows(60)),
         "stream_complete": _windows(60),
         "stream_update": _windows(60),
@@ -414,6 +483,14 @@ def build() -> dict[str, str]:
   round(weighted_precision, 8) AS weighted_precision, round(weighted_recall, 8) AS weighted_recall,
   round(prec, 8) AS positive_precision, round(rec, 8) AS positive_recall
 FROM auc, (SELECT {_WEIGHTED} FROM pr), (SELECT prec, rec FROM pr WHERE c = 1)""",
+        "eval_pr_curve": _SCORED + _CURVE + f"SELECT {_ROUNDED_CURVE}, tp, fp, fn FROM curve",
+        "eval_average_precision": _SCORED + _CURVE + "SELECT round(sum(pos * precision) / sum(pos), 8)"
+                                                     " AS average_precision FROM curve",
+        "eval_best_threshold": _SCORED + _CURVE + f"SELECT 1.0::DOUBLE * fp + 8 * fn AS cost, {_ROUNDED_CURVE},"
+                               " tp, fp, fn FROM curve ORDER BY fp + 8 * fn, curve.threshold DESC LIMIT 1",
+        "eval_threshold_capacity": _SCORED + _CURVE + f"SELECT {_ROUNDED_CURVE}, tp + fp AS n_calls FROM curve"
+                                   " WHERE tp + fp <= 1000 ORDER BY curve.threshold LIMIT 1",
+        "eval_lift_deciles": _SCORED + _LIFT,
         **_features(),
     }
     return {name: _BASE + sql for name, sql in queries.items()}

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerline import schemas
 from ledgerline.functions import columns as C
 from ledgerline.operators import (
-    cleaning, distributions as D, evaluation as E, features as X, hypothesis as H,
-    joins as J, layout as L, models as M, profiling as P, sampling, segments as S,
+    cleaning, contacts as K, distributions as D, evaluation as E, features as X, hypothesis as H,
+    joins as J, layout as L, models as M, profiling as P, rolling, sampling, segments as S,
 )
 from ledgerline.plans import reports as R
 from ledgerline.plans.training import model_table, stored_split
@@ -135,6 +135,43 @@ def wh_sql_report(spark, folder):
     """)
 
 
+BUCKETS = 4  # files per month folder, and tasks of a join of small tables
+
+
+def bucketed(spark: SparkSession, folder: str, buckets: int = BUCKETS) -> tuple[str, str]:
+    """Contacts by year and month in buckets by client, and the client table in the same buckets."""
+    root = fresh_dir(spark, "bucketed")
+    names = tuple(f"{t}_{root.rsplit('-', 1)[1]}" for t in ("contacts", "profiles"))
+    W.write_bucketed(standin.contacts(spark, folder), names[0], f"{root}/contacts", buckets, "client_id")
+    W.write_bucketed(standin.profiles(spark, folder), names[1], f"{root}/profiles", buckets, "client_id", ())
+    return names
+
+
+@query("wh_bucketed_join")
+def wh_bucketed_join(spark, folder):
+    """Contacts with their clients, bucket by bucket, without a shuffle below the join."""
+    contacts, profiles = bucketed(spark, folder)
+    joined = spark.table(contacts).join(spark.table(profiles).hint("merge"), "client_id")
+    return joined.groupBy("year", "job").agg(
+        F.count(F.lit(1)).alias("n_contacts"), F.round(F.sum("amount"), 2).alias("total_amount"),
+        F.round(F.avg("balance"), 4).alias("avg_balance"))
+
+
+@query("wh_bucketed_client")
+def wh_bucketed_client(spark, folder):
+    """One client's contacts of three years: one bucket of the folders of these years is read."""
+    contacts, _ = bucketed(spark, folder)
+    return spark.table(contacts).where("client_id = 7 and year in (1996, 1997, 1998)").select(
+        "row_id", "contact_date", "year", "month")
+
+
+@query("contact_rate_limit")
+def contact_rate_limit(spark, folder):
+    """Which contacts take place when a client is contacted once in 90 days."""
+    return K.rate_limit(standin.contacts(spark, folder), "client_id", "contact_date", "row_id").select(
+        "row_id", "client_id", "contact_date", "allowed")
+
+
 # --- Cleaning ----------------------------------------------------------------
 
 on_clients("clean_sentinel_null", lambda df: df.select(KEY, *schemas.NULLABLE_CATEGORIES))
@@ -395,6 +432,25 @@ def txn_job_rollup(spark, folder):
     return T.rollup(windows_of(standin.transactions(spark, folder)))
 
 
+@query("txn_window_sliding")
+def txn_window_sliding(spark, folder):
+    """Sixty seconds of transactions, every ten seconds."""
+    return T.flatten(T.sliding(T.tag(standin.transactions(spark, folder), THRESHOLD)))
+
+
+def _zscores(days: int) -> Query:
+    def run(spark, folder):
+        scored = rolling.rolling_zscore(
+            standin.transactions(spark, folder), "amount", "txn_time", ["account_id"], days)
+        return rounded(rolling.tag_unusual(scored), 6, "mean_before", "zscore").select(
+            "txn_id", "account_id", "n_before", "mean_before", "zscore", "unusual")
+    return run
+
+
+REGISTRY["txn_zscore_30d"] = _zscores(30)
+REGISTRY["txn_zscore_7d"] = _zscores(7)
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The event table read as a stream of files.
 
@@ -419,6 +475,32 @@ def stream_append(spark, folder):
     return spark.read.schema(result.schema).parquet(out)
 
 
+@query("stream_sliding")
+def stream_sliding(spark, folder):
+    """Closed sliding windows: panes keep state, then windows over panes."""
+    _, out, state = stream_paths(spark, "sliding")
+    result = T.flatten(T.sliding(T.tag(event_stream(stream_session(spark), folder), THRESHOLD)))
+    runner.run_available(runner.to_files(result, out, state))
+    return spark.read.schema(result.schema).parquet(out)
+
+
+@query("stream_two_sinks")
+def stream_two_sinks(spark, folder):
+    """Tagged transactions in a Parquet archive and as JSON lines for other systems, from one stream."""
+    root = fresh_dir(spark, "sinks")
+    tagged = T.tag(event_stream(stream_session(spark), folder), THRESHOLD)
+    sinks = {"archive": runner.parquet_sink(f"{root}/archive"), "downstream": runner.json_sink(f"{root}/downstream")}
+    runner.run_available(runner.to_sinks(tagged, sinks, f"{root}/committed", f"{root}/checkpoint"))
+    kinds = {"archive": "parquet", "downstream": "json"}
+    parts = [
+        runner.read_committed(spark, f"{root}/{sink}", f"{root}/committed", tagged.schema, kind).groupBy("job").agg(
+            F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("n_txn"), F.round(F.sum("amount"), 2).alias("total_amount"),
+            F.sum("suspicious").alias("n_suspicious"), F.max("txn_time").alias("newest"))
+        for sink, kind in kinds.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query("stream_complete")
 def stream_complete(spark, folder):
     """All windows, newest first, rewritten by every micro-batch."""
@@ -559,6 +641,24 @@ on_clients(
 )
 
 
+def pr_curve(df: DataFrame) -> DataFrame:
+    return E.precision_recall(rule_scores(df))
+
+
+CURVE = ("threshold", "precision", "recall")
+on_clients("eval_pr_curve", lambda df: rounded(pr_curve(df).drop("step"), 8, *CURVE))
+on_clients(
+    "eval_average_precision",
+    lambda df: rounded(E.average_precision(pr_curve(df)), 8, "average_precision"),
+)
+on_clients("eval_best_threshold", lambda df: rounded(E.best_threshold(pr_curve(df), 1, 8), 8, *CURVE))
+on_clients("eval_threshold_capacity", lambda df: rounded(E.threshold_at_capacity(pr_curve(df), 1000), 8, *CURVE))
+on_clients(
+    "eval_lift_deciles",
+    lambda df: rounded(E.lift_by_share(rule_scores(df), KEY), 8, "rate", "lift", "captured", "highest", "lowest"),
+)
+
+
 # --- Models ------------------------------------------------------------------
 # Full parameters. Searching the grids of all three candidates is the training
 # job's work; here the grid of the logistic regression is searched.
@@ -628,3 +728,25 @@ def ml_reload_predict(spark, folder):
     path = fresh_dir(spark, "model")
     M.save(fitted("LogReg", train), path)
     return shown(M.predict(M.load(path), test))
+
+
+@query("stream_scored")
+def stream_scored(spark, folder):
+    """A saved pipeline inside a stream of contacts joined to the client table, against batch scores of the same rows.
+
+    ``same_score`` says that stream and batch agree on a row.
+    """
+    table = clients(spark, folder)
+    train, _ = split_model_table(table)
+    path, (_, out, state) = fresh_dir(spark, "model"), stream_paths(spark, "scored")
+    M.save(fitted("LogReg", train), path)
+    model = M.load(path)
+    sibling = stream_session(spark)
+    arriving = cleaning.clean(standin.campaign_from(
+        sibling, standin.order_stream(sibling, folder), sibling.read.parquet(f"{folder}/customer.parquet")))
+    result = M.predict(model, model_table(arriving, KEY)).select(KEY, "y", "score")
+    runner.run_available(runner.to_files(result, out, state))
+    streamed = spark.read.schema(result.schema).parquet(out)
+    batch = M.predict(model, model_table(table, KEY)).select(KEY, F.col("score").alias("batch_score"))
+    same = F.coalesce(F.abs(F.col("score") - F.col("batch_score")) < 1e-9, F.lit(False))
+    return streamed.join(batch, KEY, "full").select(KEY, "y", same.alias("same_score"))

@@ -58,12 +58,6 @@ CORRELATED = (
     "default", "housing", "loan", "y", "never_contacted_before",
 )
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-SECTORS = (
-    ("admin.", "services"), ("blue-collar", "industry"), ("management", "services"),
-    ("technician", "industry"), ("retired", "other"), ("student", "other"),
-    ("services", "services"), ("unemployed", "other"), ("self-employed", "services"),
-    ("entrepreneur", "services"), ("housemaid", "services"),
-)
 SUSPICIOUS_ABOVE = 5000.0
 WINDOW_SECONDS = 60
 LATENESS = "2 minutes"

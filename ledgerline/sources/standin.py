@@ -43,13 +43,35 @@ STANDIN_SECTORS = (
 )
 
 
+def campaign_from(spark: SparkSession, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Raw campaign rows of orders, a table or a stream, and the customer table."""
+    return spark.sql(CAMPAIGN_COLUMNS_SQL, orders=orders, customer=customer).withColumnRenamed("in_default", "default")
+
+
 def campaign(spark: SparkSession, folder: str) -> DataFrame:
     """Raw campaign table with a ``row_id`` key in front."""
-    return spark.sql(
-        CAMPAIGN_COLUMNS_SQL,
-        orders=spark.read.parquet(f"{folder}/orders.parquet"),
-        customer=spark.read.parquet(f"{folder}/customer.parquet"),
-    ).withColumnRenamed("in_default", "default")
+    return campaign_from(
+        spark, spark.read.parquet(f"{folder}/orders.parquet"), spark.read.parquet(f"{folder}/customer.parquet"))
+
+
+def order_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The order table read as a stream of files; the braces make the path a glob."""
+    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{orders}}.parquet")
+
+
+def contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order as a dated contact with a client."""
+    day = F.col("o_orderdate").cast("date")
+    return spark.read.parquet(f"{folder}/orders.parquet").select(
+        F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("client_id"), day.alias("contact_date"),
+        F.col("o_totalprice").alias("amount"), F.year(day).alias("year"), F.month(day).alias("month"))
+
+
+def profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer as a client with job and balance."""
+    return spark.read.parquet(f"{folder}/customer.parquet").select(
+        F.col("c_custkey").alias("client_id"), F.lower("c_mktsegment").alias("job"), F.col("c_acctbal").alias("balance"))
 
 
 def as_transactions(events: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ folder, so a restarted driver or a lost executor resumes from them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ledgerline.operators.layout import cached
 from ledgerline.sources.files import stream_transactions, write_transactions
 
 
@@ -51,6 +52,46 @@ def to_versions(stream: DataFrame, path: str, checkpoint: str, mode: str) -> Dat
     )
 
 
+def to_sinks(
+    stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], None]], committed: str, checkpoint: str,
+    mode: str = "append",
+) -> DataStreamWriter:
+    """One stream to several sinks, each micro-batch computed once.
+
+    A sink is a function of (batch, batch id) that replaces what it may have
+    written for that id before. When all sinks have a batch, a marker in the
+    folder ``committed`` says so; a batch that failed half way is repeated under its id, so
+    readers who go by the markers (``read_committed``) find all sinks equal.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        with cached(batch) as held:
+            for write in sinks.values():
+                write(held, batch_id)
+        batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")).coalesce(1).write.mode(
+            "overwrite").parquet(f"{committed}/marker={batch_id}")
+
+    return stream.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", checkpoint)
+
+
+def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """A folder of its own per batch id, overwritten by a repeated batch."""
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def json_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """JSON lines for other systems, laid out the same way."""
+    return lambda batch, batch_id: write_transactions(batch, f"{path}/batch_id={batch_id}", mode="overwrite")
+
+
+def read_committed(
+    spark: SparkSession, path: str, committed: str, schema: StructType, kind: str = "parquet"
+) -> DataFrame:
+    """Rows of one sink whose batch reached every sink, with their ``batch_id``."""
+    whole = StructType([*schema.fields, StructField("batch_id", LongType())])
+    done = spark.read.schema("batch_id long").parquet(committed)  # one row per batch
+    return spark.read.schema(whole).format(kind).load(path).join(F.broadcast(done), "batch_id", "left_semi")
+
+
 def read_versions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All folders written by ``to_versions`` with their ``batch_id``."""
     whole = StructType([*schema.fields, StructField("batch_id", LongType())])

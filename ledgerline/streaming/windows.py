@@ -35,6 +35,36 @@ def windowed(
     )
 
 
+def sliding(
+    tagged: DataFrame, seconds: int = schemas.WINDOW_SECONDS, slide: int = 10, by: Sequence[str] = ("job",),
+    lateness: str = schemas.LATENESS,
+) -> DataFrame:
+    """The same totals per overlapping window of ``seconds``, one starting every ``slide`` seconds.
+
+    Rows are first summed per pane of one slide; the few panes, not the rows,
+    are then repeated for the windows they lie in. ``seconds`` must be a
+    multiple of ``slide``. On a stream (append mode) both steps keep state:
+    a pane closes by the watermark and then enters its windows.
+    """
+    if seconds % slide:
+        raise ValueError("the window must be a multiple of the slide")
+    panes = (
+        tagged.withWatermark("txn_time", lateness)
+        .groupBy(F.window("txn_time", f"{slide} seconds").alias("pane"), *by)
+        .agg(
+            F.count(F.lit(1)).alias("n_txn"), F.sum("amount").alias("total_amount"),
+            F.sum("suspicious").alias("n_suspicious"),
+        )
+    )
+    return (
+        panes.groupBy(F.window(F.window_time("pane"), f"{seconds} seconds", f"{slide} seconds"), *by)
+        .agg(
+            F.sum("n_txn").alias("n_txn"), F.round(F.sum("total_amount"), 2).alias("total_amount"),
+            F.sum("n_suspicious").alias("n_suspicious"),
+        )
+    )
+
+
 def flatten(windows: DataFrame) -> DataFrame:
     """Window start and end as plain columns."""
     return windows.select(

@@ -140,3 +140,77 @@ def test_training_job(spark, clients):
     assert spark.read.json(f"{base}/report/best").first()["model"] == best["model"]
     model = M.load(f"{base}/model")
     assert M.predict(model, training.model_table(clients, "row_id").limit(5)).count() == 5
+
+
+def plain_curve(rows):
+    points = []
+    for threshold in sorted({s for s, _ in rows}):
+        tp = sum(y for s, y in rows if s >= threshold)
+        called = sum(s >= threshold for s, _ in rows)
+        positives = sum(y for _, y in rows)
+        points.append((threshold, tp, called - tp, positives - tp, tp / called, tp / positives))
+    return points
+
+
+def scores(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k int, score double, y int")
+
+
+def test_precision_recall_curve(spark):
+    import random
+    rng = random.Random(1)
+    rows = [(rng.choice([0.1, 0.2, 0.25, 0.5, 0.9, round(rng.random(), 3)]), int(rng.random() < 0.3)) for _ in range(400)]
+    odd = scores(spark, [*rows, (None, 1), (float("nan"), 1), (0.3, None)])
+    curve = E.precision_recall(odd)
+    got = sorted(tuple(r)[:6] for r in curve.collect())
+    assert got == [pytest.approx(p) for p in plain_curve(rows)]
+    points = sorted(plain_curve(rows), reverse=True)
+    area, before = 0.0, 0.0
+    for p in points:
+        area, before = area + (p[5] - before) * p[4], p[5]
+    assert E.average_precision(curve).first()[0] == pytest.approx(area)
+    for call, missed in ((1, 1), (1, 8), (3, 1)):
+        best = min(points, key=lambda p: (call * p[2] + missed * p[3], -p[0]))
+        assert tuple(E.best_threshold(curve, call, missed).first())[:4] == (call * best[2] + missed * best[3], *best[:3])
+    fits = [p for p in points if p[1] + p[2] <= 100]
+    assert E.threshold_at_capacity(curve, 100).first()["threshold"] == min(p[0] for p in fits)
+
+
+def test_curve_of_one_class_and_of_nothing(spark):
+    negatives = E.precision_recall(scores(spark, [(0.1, 0), (0.2, 0)]))
+    assert [(r["precision"], r["recall"]) for r in negatives.collect()] == [(0.0, None)] * 2
+    empty = E.precision_recall(scores(spark, [(0.1, 0)]).limit(0))
+    assert empty.count() == 0 and E.best_threshold(empty, 1, 1).first()["threshold"] is None
+    ties = E.precision_recall(scores(spark, [(0.5, 1)] * 30 + [(0.5, 0)] * 10))
+    assert [(r["tp"], r["fp"]) for r in ties.collect()] == [(30, 10)]
+    assert E.threshold_at_capacity(ties, 39).first()["threshold"] is None
+
+
+@pytest.mark.parametrize("count", [7, 10, 103, 1000])
+def test_lift_parts_differ_by_one_row_at_most(spark, count):
+    rows = [((i * 7919 % 50) / 50, int(i % 4 == 0)) for i in range(count)]
+    got = sorted(map(tuple, E.lift_by_share(scores(spark, rows), "k").collect()))
+    order = sorted(range(count), key=lambda i: (-rows[i][0], i))
+    positives, at, captured = sum(y for _, y in rows), 0, 0
+    for part in range(10):
+        size = count // 10 + (part < count % 10)
+        own, at = [rows[i] for i in order[at : at + size]], at + size
+        if own:
+            hits = sum(y for _, y in own)
+            captured += hits
+            assert got[part] == pytest.approx((
+                part + 1, size, hits, hits / size, hits / size * count / positives, captured / positives,
+                max(s for s, _ in own), min(s for s, _ in own)))
+    assert len(got) == min(count, 10)
+
+
+def test_lift_never_sorts_the_table_in_one_task(spark, small, monkeypatch):
+    from ledgerline.operators import layout as L
+    from ledgerline.plans import queries as Q
+    result = E.lift_by_share(Q.rule_scores(Q.clients(spark, small)), "row_id")
+    plan = L.plan_text(result, "simple")
+    # Single-task exchanges hold one row per part or per partition, below the aggregate, never the rows.
+    for line in plan.splitlines():
+        if "Exchange SinglePartition" in line:
+            below = plan[plan.index(line) + len(line):].lstrip().splitlines()[0]
+            assert "HashAggregate" in below or "Project" in below, below

@@ -117,7 +117,48 @@ def test_preview_and_union(clients):
     assert L.times(clients, 3).count() == 3 * clients.count()
 
 
-def test_calendar_and_sector_values():
-    assert len(schemas.MONTHS) == 12 and len(schemas.SECTORS) == 11
+def test_calendar_and_schemas():
+    assert len(schemas.MONTHS) == 12 and "duration" not in schemas.NUMERIC_FEATURES
     assert len(schemas.RAW_CAMPAIGN) == 17 and len(schemas.CLEAN_CAMPAIGN) == 21
-    assert "unknown" not in dict(schemas.SECTORS) and "duration" not in schemas.NUMERIC_FEATURES
+
+
+@pytest.fixture(scope="module")
+def buckets(spark, small):
+    from ledgerline.plans import queries
+
+    return queries.bucketed(spark, small)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, buckets):
+    contacts, profiles = buckets
+    joined = spark.table(contacts).join(spark.table(profiles).hint("merge"), "client_id")
+    plan = L.plan_text(joined)
+    assert exchanges(joined) == 0 and "SortMergeJoin" in plan and plan.count("Bucketed: true") == 2
+    plain = spark.table(contacts).select("*").join(spark.table(profiles).hint("shuffle_hash"), "client_id")
+    assert joined.count() == plain.count() == spark.table(contacts).count()
+
+
+def test_one_client_reads_one_bucket_of_the_years_asked_for(spark, buckets):
+    one = spark.table(buckets[0]).where("client_id = 7 and year = 1997")
+    shown = "spark.sql.sources.bucketing.autoBucketedScan.enabled"  # else the plan prunes without saying so
+    spark.conf.set(shown, "false")
+    try:
+        plan = L.plan_text(spark.table(buckets[0]).where("client_id = 7 and year = 1997"))
+    finally:
+        spark.conf.unset(shown)
+    assert "SelectedBucketsCount: 1 out of 4" in plan
+    assert re.search(r"PartitionFilters: \[.*year.*1997", plan)
+    assert one.count() == spark.table(buckets[0]).where("client_id + 0 = 7 and year + 0 = 1997").count() > 0
+
+
+def test_files_per_bucket_are_bounded(spark, buckets):
+    names = spark.table(buckets[0]).inputFiles()
+    folders = spark.table(buckets[0]).select("year", "month").distinct().count()
+    assert folders < len(names) <= 4 * folders
+    assert len({(n.rsplit("/", 1)[0], n.rsplit("_", 1)[1]) for n in names}) == len(names)  # one file per bucket
+
+
+def test_partition_columns_are_listed_by_name(spark, buckets):
+    listed = W.list_partitions(spark, buckets[0])
+    assert listed.columns == ["year", "month"]
+    assert listed.count() == spark.table(buckets[0]).select("year", "month").distinct().count()

@@ -1,0 +1,106 @@
+"""Rolling z-scores against plain Python and Spark's own sliding frame."""
+
+import datetime
+import math
+import random
+import statistics
+
+from pyspark.sql import Window, functions as F
+
+from ledgerline.operators import layout as L, rolling
+
+DAY = 86_400_000_000
+START = datetime.datetime(2024, 1, 1)
+SCHEMA = "id int, account string, at timestamp, amount double"
+
+
+def made(rows):
+    return [(i, a, START + datetime.timedelta(microseconds=t) if t is not None else None, v) for i, (a, t, v) in enumerate(rows)]
+
+
+def plain(rows, days):
+    want = {}
+    for i, account, at, value in rows:
+        past = [] if at is None else [
+            r[3] for r in rows
+            if r[1] == account and r[2] is not None and r[3] is not None and at - datetime.timedelta(days=days) <= r[2] < at]
+        spread = statistics.stdev(past) if len(past) > 1 else 0
+        score = (value - statistics.fmean(past)) / spread if spread > 0 and value is not None else None
+        want[i] = (len(past), statistics.fmean(past) if past else None, score)
+    return want
+
+
+def scored(df, **options):
+    got = rolling.rolling_zscore(df, "amount", "at", ["account"], **options)
+    return {r["id"]: (r["n_before"], r["mean_before"], r["zscore"]) for r in got.collect()}
+
+
+def agree(got, want):
+    assert got.keys() == want.keys()
+    for i, (n, mean, score) in want.items():
+        assert got[i][0] == n
+        for ours, theirs in zip(got[i][1:], (mean, score)):
+            assert (ours is None) == (theirs is None), (i, got[i], want[i])
+            assert ours is None or math.isclose(ours, theirs, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_zscore_equals_plain_python(spark):
+    rng = random.Random(2)
+    moments = [rng.randrange(0, 100 * DAY) for _ in range(150)]
+    rows = [(rng.choice(["a", "b", None]), rng.choice(moments), round(rng.uniform(-50, 50), 2)) for _ in range(500)]
+    rows += [("a", None, 3.0), ("a", 5 * DAY, None), ("c", 0, 1.0), ("c", 30 * DAY, 2.0), ("c", 30 * DAY + 1, 4.0), ("c", 60 * DAY + 2, 9.0)]
+    rows = made(rows)
+    df = spark.createDataFrame(rows, SCHEMA)
+    agree(scored(df), plain(rows, 30))
+    agree(scored(df, slice_days=40), plain(rows, 30))
+    agree(scored(df, days=3, slice_days=0.5), plain(rows, 3))
+    assert scored(df.limit(0)) == {}
+
+
+def test_frame_edges_and_equal_values(spark):
+    rows = made([("x", 0, 0.1), ("x", 1, 0.1), ("x", 2, 0.1), ("x", 2, 7.0), ("x", 30 * DAY + 1, 5.0), ("x", 30 * DAY + 3, 5.0)])
+    got = scored(spark.createDataFrame(rows, SCHEMA))
+    assert [got[i][0] for i in range(6)] == [0, 1, 2, 2, 3, 1]  # the row exactly 30 days before still counts
+    assert got[2][2] is None and got[3][2] is None  # no variance, exactly
+
+
+def test_values_that_are_no_numbers(spark):
+    rows = made([("x", 0, 1.0), ("x", 1, float("nan")), ("x", 2, float("inf")), ("x", 3, 3.0), ("x", 4, 2.0)])
+    got = scored(spark.createDataFrame(rows, SCHEMA))
+    assert [got[i][0] for i in range(5)] == [0, 1, 1, 1, 2] and got[1][2] is None and abs(got[4][2]) < 1e-12
+
+
+def test_zscore_equals_sliding_frame_on_events(spark, small):
+    from ledgerline.sources import standin
+
+    txns = standin.transactions(spark, small).withColumn("cents", F.round(F.col("amount") * 100))
+    frame = Window.partitionBy("account_id").orderBy(F.unix_micros("txn_time")).rangeBetween(-7 * DAY, -1)
+    want = txns.select("txn_id", ((F.col("cents") - F.avg("cents").over(frame)) / F.nullif(F.stddev("cents").over(frame), F.lit(0.0))).alias("z"))
+    got = rolling.rolling_zscore(txns, "amount", "txn_time", ["account_id"], days=7).select("txn_id", "zscore")
+    differ = got.join(want, "txn_id").where("not (abs(z - zscore) < 1e-6 or (z is null and zscore is null))")
+    assert differ.count() == 0
+
+
+def test_a_hot_account_is_the_work_of_many_tasks(spark):
+    """All rows in one account: the window's keys hold the time slice, so its partitions share the rows."""
+    df = spark.range(4000).select(
+        F.col("id").cast("int").alias("id"), F.lit("hot").alias("account"),
+        F.timestamp_micros(F.col("id") * F.lit(DAY // 40)).alias("at"), (F.col("id") % 97).cast("double").alias("amount"))
+    got = rolling.rolling_zscore(df, "amount", "at", ["account"])
+    plan = L.plan_text(got)
+    assert "hashpartitioning(_by0" in plan and "_slice" in plan
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        used = got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.unset(merge)
+    assert len(used) == 4 and max(r["count"] for r in used) < 2400
+    assert got.agg(F.max("n_before")).first()[0] == 30 * 40
+
+
+def test_unusual_rows_are_marked(spark):
+    rows = made([("x", i, float(i % 3)) for i in range(30)] + [("x", 31, 500.0)])
+    got = rolling.tag_unusual(rolling.rolling_zscore(spark.createDataFrame(rows, SCHEMA), "amount", "at", ["account"]))
+    assert [r["id"] for r in got.where("unusual = 1").collect()] == [30]
+    assert got.where("unusual is null").count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas, session
 from ledgerline.operators import cleaning
 from ledgerline.plans import campaign_job, queries, reports
-from ledgerline.sources import files, warehouse as W
+from ledgerline.sources import files, standin, warehouse as W
 
 
 def test_csv_schema_declared_and_inferred(spark, small):
@@ -90,8 +90,8 @@ def test_write_without_rebalancing(spark, clients):
 
 
 def test_literal_table_has_known_size(spark):
-    table = files.literal_table(spark, schemas.SECTORS, ["job", "sector"])
-    assert table.count() == 11
+    table = files.literal_table(spark, standin.STANDIN_SECTORS, ["job", "sector"])
+    assert table.count() == 4
     assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
 
 

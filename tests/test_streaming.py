@@ -150,3 +150,115 @@ def test_repeated_micro_batch_leaves_no_doubles(streams, spark):
     for _ in range(2):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id=0")
     assert runner.read_versions(spark, path, batch.schema).count() == 3
+
+
+# --- Sliding windows, several sinks, scores inside a stream --------------------
+
+SLID = ("window_start", "window_end", "job", "n_txn", "total_amount", "n_suspicious")
+
+
+def test_sliding_windows_by_hand(streams, tmp_path):
+    (tmp_path / "x.json").write_text("\n".join([
+        line(1, "00:01:00", 4.0), line(2, "00:01:09", 6000.0), line(3, "00:01:55", 1.0), line(4, None, 9.0)]))
+    txns = files.read_transactions(streams, str(tmp_path))
+    rows = T.flatten(T.sliding(T.tag(txns))).withColumn("at", F.date_format("window_start", "mm:ss")).collect()
+    assert {r["at"]: (r["n_txn"], r["total_amount"], r["n_suspicious"]) for r in rows} == {
+        **{at: (2, 6004.0, 1) for at in ("00:10", "00:20", "00:30", "00:40", "00:50")},
+        "01:00": (3, 6005.0, 1), **{at: (1, 1.0, 0) for at in ("01:10", "01:20", "01:30", "01:40", "01:50")}}
+    with pytest.raises(ValueError, match="multiple"):
+        T.sliding(T.tag(txns), 60, 25)
+    assert T.sliding(T.tag(txns.limit(0))).count() == 0
+
+
+def test_sliding_equals_spark_windows_and_repeats_panes_only(streams, spark, small):
+    from ledgerline.operators import layout as L
+    from ledgerline.sources import standin
+
+    txns = T.tag(standin.transactions(spark, small), 100.0)
+    want = txns.groupBy(F.window("txn_time", "30 minutes", "10 minutes"), "job").agg(
+        F.count(F.lit(1)).alias("n_txn"), F.round(F.sum("amount"), 2).alias("total_amount"), F.sum("suspicious").alias("n_suspicious"))
+    slid = T.sliding(txns, 1800, 600)
+    assert values(T.flatten(slid), *SLID) == values(T.flatten(want), *SLID)
+    plan = L.plan_text(slid, "simple")
+    assert plan.index("Expand") < plan.rindex("partial_count")  # printed from the top: panes are summed below
+
+
+def test_sliding_stream_equals_closed_batch_windows(streams, late_folder):
+    """One file per micro-batch, one late row: what was closed before it came stays as it was."""
+    stream = files.stream_transactions(streams, late_folder)
+    result = T.flatten(T.sliding(T.tag(stream)))
+    base = session.fresh_dir(streams, "slide")
+    runner.run_available(runner.to_files(result, f"{base}/out", f"{base}/state"))
+    on_time = files.read_transactions(streams, late_folder).where("amount <> 100")
+    closed = T.flatten(T.sliding(T.tag(on_time))).where(f"window_end <= timestamp '{DAY[:-1]} 00:18:00'")
+    got = values(streams.read.parquet(f"{base}/out"), *SLID)
+    assert got == values(closed, *SLID) and len(got) > 10
+
+
+def test_two_sinks_stay_equal_after_a_failure_between_them(streams, late_folder):
+    base = session.fresh_dir(streams, "two")
+    stream = T.tag(files.stream_transactions(streams, late_folder))
+    fails = {"left": 1}
+    archive, downstream = runner.parquet_sink(f"{base}/archive"), runner.json_sink(f"{base}/downstream")
+
+    def fragile(batch, batch_id):
+        if batch_id == 2 and fails["left"]:
+            fails["left"] -= 1
+            raise RuntimeError("downstream is away")
+        downstream(batch, batch_id)
+
+    def attach():
+        return runner.to_sinks(stream, {"archive": archive, "downstream": fragile}, f"{base}/committed", f"{base}/state")
+
+    def read(sink, kind):
+        return values(runner.read_committed(streams, f"{base}/{sink}", f"{base}/committed", stream.schema, kind))
+
+    with pytest.raises(Exception, match="downstream is away"):
+        runner.run_available(attach())
+    # The archive has batch 2, but readers see only what reached both.
+    raw = streams.read.parquet(f"{base}/archive").select("batch_id").distinct().count()
+    assert raw == 3
+    assert {r[0] for r in read("archive", "parquet")} == {r[0] for r in read("downstream", "json")}
+    assert len(read("archive", "parquet")) == 3
+    runner.run_available(attach())
+    both = read("archive", "parquet"), read("downstream", "json")
+    assert both[0] == both[1] and len(both[0]) == 6
+    assert streams.read.parquet(f"{base}/committed").select("batch_id").distinct().count() == 5
+
+
+def test_each_batch_is_computed_once_for_all_sinks(streams, late_folder):
+    base = session.fresh_dir(streams, "once")
+    seen = streams.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stream = files.stream_transactions(streams, late_folder).mapInArrow(count, schemas.TRANSACTION)
+    sinks = {k: runner.parquet_sink(f"{base}/{k}") for k in ("a", "b", "c")}
+    runner.run_available(runner.to_sinks(stream, sinks, f"{base}/committed", f"{base}/state"))
+    assert seen.value == 6
+
+
+def test_scores_inside_a_stream_keep_unseen_categories(streams, spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from ledgerline.operators import features as X, models as M
+
+    train = spark.createDataFrame(
+        [(j, float(i), int(i % 3 == 0)) for i, j in enumerate("aabbabab" * 5)], "job string, age double, y int")
+    stages = [*X.preparation(["job"], ["age"]), LogisticRegression(labelCol="y", featuresCol=X.FEATURES)]
+    path = f"{tmp_path}/model"
+    M.save(Pipeline(stages=stages).fit(train), path)
+    clients = spark.createDataFrame([(1, "a"), (2, "never seen"), (3, "b")], "client_id int, job string")
+    folder = f"{tmp_path}/calls"
+    spark.createDataFrame([(1, 3.0), (2, 4.0), (3, 5.0), (9, 6.0)], "client_id int, age double").write.json(folder)
+    calls = streams.readStream.schema("client_id int, age double").json(folder)
+    joined = calls.join(clients, "client_id")
+    result = M.predict(M.load(path), joined).select("client_id", "score")
+    base = session.fresh_dir(streams, "score")
+    runner.run_available(runner.to_files(result, f"{base}/out", f"{base}/state"))
+    got = values(spark.read.parquet(f"{base}/out"), "client_id", "score")
+    batch = spark.read.schema("client_id int, age double").json(folder).join(clients, "client_id")
+    assert got == values(M.predict(M.load(path), batch), "client_id", "score") and [r[0] for r in got] == [1, 2, 3]
