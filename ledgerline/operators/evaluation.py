@@ -70,21 +70,22 @@ def _recall(c) -> Column:
     return _share(F.col(f"hit_{c}"), F.col(f"actual_{c}"))
 
 
-def weighted_metrics(
-    scored: DataFrame, levels: Sequence = (0, 1), label: str = "y", prediction: str = "prediction"
-) -> DataFrame:
-    """F1, precision and recall averaged over classes by their share of rows."""
+def _weighted(levels: Sequence) -> list[Column]:
     def average(metric):
         return sum(F.col(f"actual_{c}") / F.nullif(F.col("n"), F.lit(0)) * metric(c) for c in levels)
 
     def f1(c):
         return _share(2 * _precision(c) * _recall(c), _precision(c) + _recall(c))
 
-    return _class_counts(scored, levels, label, prediction).select(
-        average(f1).alias("f1"),
-        average(_precision).alias("weighted_precision"),
-        average(_recall).alias("weighted_recall"),
-    )
+    return [
+        average(f1).alias("f1"), average(_precision).alias("weighted_precision"), average(_recall).alias("weighted_recall")]
+
+
+def weighted_metrics(
+    scored: DataFrame, levels: Sequence = (0, 1), label: str = "y", prediction: str = "prediction"
+) -> DataFrame:
+    """F1, precision and recall averaged over classes by their share of rows."""
+    return _class_counts(scored, levels, label, prediction).select(*_weighted(levels))
 
 
 def class_metrics(
@@ -101,16 +102,10 @@ def class_metrics(
 
 
 def metrics(scored: DataFrame, score: str = "score", label: str = "y", prediction: str = "prediction") -> DataFrame:
-    """All metrics of one model as one row."""
-    return weighted_metrics(scored, (0, 1), label, prediction).select(
-        auc(scored, score, label).scalar().alias("roc_auc"), "*",
-        class_metrics(scored, 1, label, prediction).select(
-            F.struct("precision", "recall")
-        ).scalar().alias("positive"),
-    ).select(
-        "roc_auc", "f1", "weighted_precision", "weighted_recall",
-        F.col("positive.precision").alias("positive_precision"),
-        F.col("positive.recall").alias("positive_recall"),
+    """All metrics of one model as one row: one pass for the score, one for the classes."""
+    return _class_counts(scored, (0, 1), label, prediction).select(
+        auc(scored, score, label).scalar().alias("roc_auc"), *_weighted((0, 1)),
+        _precision(1).alias("positive_precision"), _recall(1).alias("positive_recall"),
     )
 
 

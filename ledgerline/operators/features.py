@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Transformer, Estimator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline import schemas
 from ledgerline.sources.files import literal_table
@@ -56,12 +56,19 @@ def slots_table(prepared: DataFrame, column: str = RAW_FEATURES) -> DataFrame:
     return table.withColumn("slot", F.col("slot").cast("int"))
 
 
-def nonzero_slots(prepared: DataFrame, vector: str, *keep: str) -> DataFrame:
-    """Vector in sparse long form: one row per non-zero slot."""
-    exploded = prepared.select(
-        *keep, F.posexplode(vector_to_array(F.col(vector))).alias("slot", "value")
-    )
-    return exploded.where(F.col("value") != 0)
+def nonzero_slots(prepared: DataFrame, vectors: Mapping[str, str], *keep: str) -> DataFrame:
+    """Vectors in sparse long form: ``feature``, ``slot`` and ``value`` of each non-zero slot.
+
+    ``vectors`` maps feature names to vector columns. One pass serves them all,
+    and zeros go before rows are made of the slots.
+    """
+    def slots(feature: str, column: str) -> Column:
+        named = F.transform(vector_to_array(F.col(column)), lambda value, slot: F.struct(
+            F.lit(feature).alias("feature"), slot.alias("slot"), value.alias("value")))
+        return F.filter(named, lambda s: s["value"] != 0)
+
+    every = F.flatten(F.array(*[slots(f, c) for f, c in vectors.items()]))
+    return prepared.select(*keep, F.explode(every).alias("_slot")).select(*keep, "_slot.*")
 
 
 def with_class_weight(df: DataFrame, label: str = "y", weight: str = "weight") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerline.session import fresh_dir
 from ledgerline.sources.files import store
 
-CELLS = 512
+ROWS_PER_CELL = 100_000
 _INDEX_BITS = 33  # of a monotonically increasing id: the row's index in its partition
 
 
@@ -34,23 +34,25 @@ def _cell_edges(counts: DataFrame, value: str, cells: int) -> list[float]:
     They only balance the work: any cut points give the same results.
     """
     shares = [i / cells for i in range(1, cells)]
-    cuts = counts.sample(0.1, seed=1).approxQuantile(value, shares, 1 / (4 * cells))
+    cuts = counts.sample(0.1, seed=1).approxQuantile(value, shares, 1 / (4 * cells)) if shares else []
     return [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
 
 
 def running_counts(
     counts: DataFrame, value: str, measures: Sequence[str] = ("n",),
-    by: Sequence[str] = (), cells: int = CELLS,
+    by: Sequence[str] = (), rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Add ``<m>_through`` and ``<m>_total`` to one-row-per-value counts.
 
     ``through`` sums a measure over all values up to and including the row's
     value within its ``by`` group; ``total`` sums it over the group. ``by``
-    columns must not be NULL. One task orders one cell, so ``cells`` should
-    grow with the number of distinct values (512 suit a few billions).
+    columns must not be NULL. The counts are stored, so the table behind them
+    is read once. One task orders one cell, of which there are as many as
+    the counts have ``rows_per_cell``.
     """
-    counts = counts.withColumn("_at", F.col(value).cast("double"))
-    edges = _cell_edges(counts, "_at", cells)
+    spark = counts.sparkSession
+    counts = store(counts.withColumn("_at", F.col(value).cast("double")), fresh_dir(spark, "value-counts"))
+    edges = _cell_edges(counts, "_at", -(-counts.count() // rows_per_cell))
     placed = Bucketizer(splits=edges, inputCol="_at", outputCol="_cell").transform(counts)
 
     # At most `cells` rows per group, so these windows stay small.
@@ -93,7 +95,14 @@ def quantiles(
     interpolate: bool = False,
 ) -> DataFrame:
     """Exact quantiles, one column per entry of ``shares``."""
-    running = running_counts(value_counts(df, value, by), value, by=by)
+    return quantiles_of_counts(value_counts(df, value, by), value, shares, by, interpolate)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = (), interpolate: bool = False,
+) -> DataFrame:
+    """The same from one row ``(by..., value, n)`` per distinct value."""
+    running = running_counts(counts, value, by=by)
     pick = _interpolated if interpolate else _discrete
     return running.groupBy(*by).agg(
         *[pick(value, share).cast("double").alias(name) for name, share in shares.items()]

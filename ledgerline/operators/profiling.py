@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import ordered
@@ -117,13 +118,15 @@ def cardinality_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd:
 
 
 def value_samples(df: DataFrame, columns: Sequence[str] | None = None, per_column: int = 6) -> DataFrame:
-    """The first few values of every column in value order.
+    """The first few values of every column in value order, numbers as numbers.
 
     Spark keeps only ``per_column`` rows per column and map task before the
     window's shuffle.
     """
     values = _distinct_values(df, columns or df.columns)
-    place = F.row_number().over(Window.partitionBy("column").orderBy("value"))
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+    number = F.when(F.col("column").isin(*numbers), F.col("value").try_cast("double"))
+    place = F.row_number().over(Window.partitionBy("column").orderBy(number, "value"))
     return values.select("column", "value", place.alias("position")).where(
         F.col("position") <= per_column
     )

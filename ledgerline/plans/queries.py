@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline import schemas
@@ -77,18 +78,33 @@ def src_json(spark, folder):
     return files.read_transactions(spark, path)
 
 
+_made: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, purpose: str, of: str, make: Callable):
+    """What ``make`` returns, made once per application and input for all queries that need it."""
+    key = (spark.sparkContext.applicationId, purpose, of)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
 def stored(spark: SparkSession, folder: str) -> str:
     """Clean table written as a month-partitioned warehouse."""
-    path = fresh_dir(spark, "warehouse")
-    W.write_warehouse(clients(spark, folder).drop(KEY), path)
-    return path
+    def make():
+        path = fresh_dir(spark, "warehouse")
+        W.write_warehouse(clients(spark, folder).drop(KEY), path)
+        return path
+
+    return once(spark, "warehouse", folder, make)
 
 
 def registered(spark: SparkSession, folder: str) -> str:
-    """Name of a new external table over a new warehouse folder."""
+    """Name of an external table over the warehouse folder."""
     path = stored(spark, folder)
     table = "bank_clients_" + path.rsplit("-", 1)[1]
-    W.register_table(spark, table, path)
+    if not spark.catalog.tableExists(table):
+        W.register_table(spark, table, path)
     return table
 
 
@@ -140,11 +156,14 @@ BUCKETS = 4  # files per month folder, and tasks of a join of small tables
 
 def bucketed(spark: SparkSession, folder: str, buckets: int = BUCKETS) -> tuple[str, str]:
     """Contacts by year and month in buckets by client, and the client table in the same buckets."""
-    root = fresh_dir(spark, "bucketed")
-    names = tuple(f"{t}_{root.rsplit('-', 1)[1]}" for t in ("contacts", "profiles"))
-    W.write_bucketed(standin.contacts(spark, folder), names[0], f"{root}/contacts", buckets, "client_id")
-    W.write_bucketed(standin.profiles(spark, folder), names[1], f"{root}/profiles", buckets, "client_id", ())
-    return names
+    def make():
+        root = fresh_dir(spark, "bucketed")
+        names = tuple(f"{t}_{root.rsplit('-', 1)[1]}" for t in ("contacts", "profiles"))
+        W.write_bucketed(standin.contacts(spark, folder), names[0], f"{root}/contacts", buckets, "client_id")
+        W.write_bucketed(standin.profiles(spark, folder), names[1], f"{root}/profiles", buckets, "client_id", ())
+        return names
+
+    return once(spark, f"bucketed-{buckets}", folder, make)
 
 
 @query("wh_bucketed_join")
@@ -244,6 +263,31 @@ REGISTRY["prof_describe"] = lambda spark, folder: P.describe(
 )
 on_clients("prof_quantiles", lambda df: P.quantiles(df, OUTLIER_COLUMNS, SHARES))
 on_clients("prof_quantiles_approx", lambda df: P.quantiles_approx(df, OUTLIER_COLUMNS, SHARES))
+def _approx_bounds(df: DataFrame) -> DataFrame:
+    """Exact distinct counts, and whether the sketch is within three of its standard errors (5 %)."""
+    table = df.drop(KEY)
+    exact, near = P.cardinality(table), P.cardinality_approx(table).withColumnRenamed("n_distinct", "sketched")
+    within = F.abs(F.col("sketched") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), 0.15 * F.col("n_distinct"))
+    return exact.join(near, "column", "full").select("column", "n_distinct", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+def _approx_quantile_bounds(df: DataFrame) -> DataFrame:
+    """Whether each sketched quantile is a value whose rank is off by no more than the sketch's promise."""
+    near = P.quantiles_approx(df, OUTLIER_COLUMNS, SHARES, 1000)
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in OUTLIER_COLUMNS]).unpivot(
+        [], list(OUTLIER_COLUMNS), "column", "value").where("value is not null")
+    ranked = numbers.join(F.broadcast(near), "column").groupBy("column")
+
+    def off(name):  # the rank interval of a value must come within a thousandth of the wanted rank
+        below, through = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+        share = F.lit(SHARES[name])
+        return ((below - 0.001 <= share) & (share <= through + 0.001)).alias(name)
+
+    return ranked.agg(F.count(F.lit(1)).alias("n"), *[off(name) for name in SHARES])
+
+
+on_clients("prof_cardinality_bounds", _approx_bounds)
+on_clients("prof_quantile_bounds", _approx_quantile_bounds)
 on_clients("prof_positive_rate", lambda df: rounded(P.positive_rate(df, "y"), 8, "positive_rate"))
 
 
@@ -375,6 +419,22 @@ on_clients(
     lambda df: sampling.exact_sample(
         df.select(KEY, "age", "balance", "duration", "campaign", "y"), 800, KEY),
 )
+PAIRED = ("age", "balance", "duration", "campaign")
+
+
+def _pair_densities(df: DataFrame) -> DataFrame:
+    """What a pair plot shows on its diagonal: the density of each column per class in the drawn rows."""
+    drawn = sampling.exact_sample(df.select(KEY, *PAIRED, "y"), 800, KEY)
+    drawn = files.store(drawn, fresh_dir(df.sparkSession, "pairplot"))
+    parts = [
+        rounded(D.density(drawn, c, 50, "y", CLASSES), 8, "x", "density").withColumn("column", F.lit(c)) for c in PAIRED]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+on_clients("sample_pairplot_density", _pair_densities)
 on_clients(
     "sample_scatter",
     lambda df: sampling.exact_sample(
@@ -581,16 +641,8 @@ on_clients(
 
 
 def _one_hot(df: DataFrame) -> DataFrame:
-    table = prepared(df)
-    parts = [
-        X.nonzero_slots(table, X.hot_column(c), KEY).select(
-            KEY, F.lit(c).alias("feature"), "slot", "value")
-        for c in schemas.CATEGORICAL_FEATURES
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return X.nonzero_slots(
+        prepared(df), {c: X.hot_column(c) for c in schemas.CATEGORICAL_FEATURES}, KEY)
 
 
 on_clients("feat_one_hot", _one_hot)
@@ -663,13 +715,21 @@ on_clients(
 # Full parameters. Searching the grids of all three candidates is the training
 # job's work; here the grid of the logistic regression is searched.
 
+def _source(df: DataFrame) -> str:
+    return f"{sorted(df.inputFiles())} {df.semanticHash()}"
+
+
 def split_model_table(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return stored_split(df, KEY)
+    return once(df.sparkSession, "split", _source(df), lambda: stored_split(df, KEY))
 
 
 def fitted(name: str, train: DataFrame):
-    with L.cached(train) as held:
-        return M.fit(M.CANDIDATES[name], held)
+    """The candidate fitted on the stored training part, once for all queries that use it."""
+    def make():
+        with L.cached(train) as held:
+            return M.fit(M.CANDIDATES[name], held)
+
+    return once(train.sparkSession, f"model-{name}", _source(train), make)
 
 
 def shown(scored: DataFrame) -> DataFrame:
@@ -713,6 +773,46 @@ def _comparison(df: DataFrame) -> DataFrame:
 on_clients("ml_comparison", _comparison)
 
 
+def _heldout_facts(df: DataFrame) -> DataFrame:
+    """Per model what holds whatever its coefficients: rows and labels scored, sound probabilities, metrics that agree.
+
+    ``auc_agrees`` says that the exact metric is what Spark's evaluator finds on the
+    stored scores, ``recount_agrees`` that the weighted recall is the share of right rows.
+    """
+    train, test = split_model_table(df)
+    spark, folder = df.sparkSession, fresh_dir(df.sparkSession, "scores")
+    parts = []
+    for name in M.CANDIDATES:
+        scored = M.predict(fitted(name, train), test)
+        probability = X.vector_to_array(F.col("probability"))[1].alias("probability")
+        scored = files.store(scored.select(KEY, "y", "prediction", "score", probability), f"{folder}/{name}")
+        sound = F.col("probability").between(0, 1) & ((F.col("probability") > 0.5) == (F.col("prediction") == 1.0))
+        metrics = E.metrics(scored).select(F.struct("*")).scalar()
+        area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="score", numBins=0).evaluate(scored)
+        parts.append(scored.withColumn("m", metrics).agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_test"), F.sum("y").alias("n_positive"),
+            F.bool_and(sound).alias("sound"), (F.max(F.col("m.roc_auc")) > 0.5).alias("beats_chance"),
+            (F.abs(F.max("m.roc_auc") - area) < 1e-9).alias("auc_agrees"),
+            (F.abs(F.max("m.weighted_recall") - F.avg((F.col("y") == F.col("prediction")).cast("int"))) < 1e-9).alias("recount_agrees")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+on_clients("ml_heldout_facts", _heldout_facts)
+
+
+def _reload_facts(df: DataFrame) -> DataFrame:
+    """Held-out rows with whether the saved and reloaded pipeline scores them as the fitted one does."""
+    train, test = split_model_table(df)
+    path, model = fresh_dir(df.sparkSession, "model"), fitted("LogReg", train)
+    M.save(model, path)
+    own = M.predict(model, test).select(KEY, "y", F.col("score").alias("own"))
+    again = M.predict(M.load(path), test).select(KEY, "score")
+    return own.join(again, KEY, "full").select(KEY, "y", F.coalesce(F.col("own") == F.col("score"), F.lit(False)).alias("same_score"))
+
+
+on_clients("ml_reload_facts", _reload_facts)
+
+
 def _importance(df: DataFrame) -> DataFrame:
     train, _ = split_model_table(df)
     model = fitted("GBT", train)

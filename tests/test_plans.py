@@ -162,3 +162,23 @@ def test_partition_columns_are_listed_by_name(spark, buckets):
     listed = W.list_partitions(spark, buckets[0])
     assert listed.columns == ["year", "month"]
     assert listed.count() == spark.table(buckets[0]).select("year", "month").distinct().count()
+
+
+def test_queries_share_one_warehouse(spark, small):
+    from ledgerline.plans import queries
+
+    assert queries.stored(spark, small) == queries.stored(spark, small)
+    table = queries.registered(spark, small)
+    assert queries.registered(spark, small) == table and spark.catalog.tableExists(table)
+
+
+def test_models_are_fitted_once_per_table(clients, monkeypatch):
+    from ledgerline.plans import queries
+
+    fits = []
+    monkeypatch.setattr(queries.M, "fit", lambda candidate, train: fits.append(candidate.name) or object())
+    train, _ = queries.split_model_table(clients)
+    again, _ = queries.split_model_table(clients.select("*"))
+    assert queries._source(train) == queries._source(again)
+    assert queries.fitted("GBT", train) is queries.fitted("GBT", again) and fits == ["GBT"]
+    queries._made.clear()

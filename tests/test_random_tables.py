@@ -31,11 +31,11 @@ def test_auc_by_pairs(spark, rows):
 @quick
 @given(
     values=st.lists(st.one_of(st.just(7), st.integers(-50, 50)), min_size=1, max_size=80),
-    share=st.sampled_from([0.01, 0.25, 0.5, 0.75, 0.99]), cells=st.sampled_from([2, 5, 512]),
+    share=st.sampled_from([0.01, 0.25, 0.5, 0.75, 0.99]), rows=st.sampled_from([1, 5, 1000]),
 )
-def test_order_statistics(spark, values, share, cells):
+def test_order_statistics(spark, values, share, rows):
     df = spark.createDataFrame([(v,) for v in values], "x int")
-    running = O.running_counts(O.value_counts(df, "x"), "x", cells=cells).collect()
+    running = O.running_counts(O.value_counts(df, "x"), "x", rows_per_cell=rows).collect()
     assert {r["x"]: r["n_through"] for r in running} == {
         v: sum(w <= v for w in values) for v in values}
     place = share * (len(values) - 1)

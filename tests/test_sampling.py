@@ -58,3 +58,20 @@ def test_fraction_sample_needs_no_shuffle(people):
     sample = sampling.fraction_sample(people, 0.1, "id")
     assert 400 < sample.count() < 600
     assert "Exchange" not in sample._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_offs_are_stored_once_for_both_parts(spark, clients):
+    from ledgerline.operators import layout as L
+    train, test = sampling.stratified_split(clients.select("row_id", "y"), 0.8, "row_id", "y", (0, 1))
+    for part in (train, test):
+        plan = L.plan_text(part)
+        assert "cuts-" in plan and "Window" not in plan and "Aggregate" not in plan
+
+
+def test_cut_in_the_second_level_of_cells(spark, monkeypatch):
+    """With one-digit cells the first level leaves many rows, and the second still finds the exact cut."""
+    monkeypatch.setattr(sampling, "CELL_DIGITS", 1)
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    whole = [r["k"] for r in df.orderBy(sampling.key_hash("k", 42), "k").collect()]
+    for n in (0, 1, 57, 2999, 3000, 5000):
+        assert {r["k"] for r in sampling.exact_sample(df, n, "k").collect()} == set(whole[:n])

@@ -105,11 +105,11 @@ def test_welch_closed_form(numbers):
     assert 0 <= row["p_value"] <= 1
 
 
-@pytest.mark.parametrize("cells", [2, 7, 2048])
-def test_running_counts_match_a_plain_cumulative_sum(numbers, cells):
+@pytest.mark.parametrize("rows_per_cell", [1, 7, 40, 100_000])
+def test_running_counts_match_a_plain_cumulative_sum(numbers, rows_per_cell):
     frame, df = numbers
     counts = O.value_counts(df, "x", ["g"])
-    got = O.running_counts(counts, "x", by=["g"], cells=cells).toPandas()
+    got = O.running_counts(counts, "x", by=["g"], rows_per_cell=rows_per_cell).toPandas()
     want = frame.groupby(["g", "x"]).size().rename("n").reset_index().sort_values(["g", "x"])
     want["n_through"] = want.groupby("g").n.cumsum()
     want["n_total"] = want.groupby("g").n.transform("sum")
@@ -225,3 +225,39 @@ def test_quantiles_approx_is_close(clients):
         rank = clients.where(F.col("balance") <= rough[name]).count() / n
         assert rank == pytest.approx(share, abs=0.001)
         assert abs(exact[name] - rough[name]) <= abs(exact[name]) * 0.05
+
+
+def test_running_counts_read_the_table_once(spark, numbers):
+    """The counts are stored: nothing behind them is in the plan of the result."""
+    from ledgerline.operators import layout as L
+    _, df = numbers
+    plan = L.plan_text(O.running_counts(O.value_counts(df, "x", ["g"]), "x", by=["g"]))
+    assert "value-counts-" in plan and "RDD" not in plan and "LocalTableScan" not in plan
+
+
+def test_density_meets_only_near_points(numbers):
+    from ledgerline.operators import layout as L
+    frame, df = numbers
+    wide = df.select("x").unionByName(df.select((F.col("x") + 10_000).alias("x")))
+    got = D.density(wide, "x", 64).orderBy("point").collect()
+    values_ = [*frame.x.dropna(), *(frame.x.dropna() + 10_000)]
+    n = len(values_)
+    h = pd.Series(values_).std() * n**-0.2
+    for r in got:
+        want = sum(math.exp(-0.5 * ((r["x"] - v) / h) ** 2) for v in values_) / (n * h * math.sqrt(2 * math.pi))
+        assert r["density"] == pytest.approx(want, abs=1e-15)
+    assert [r["point"] for r in got] == list(range(64))
+
+
+def test_density_of_nothing_and_of_one_value(spark):
+    df = spark.createDataFrame([(3.0,)] * 4, "x double")
+    assert D.density(df.limit(0), "x", 5).count() == 0
+    assert [(r["x"], r["density"]) for r in D.density(df, "x", 3).collect()] == [(3.0, None)] * 3
+
+
+def test_value_samples_order_numbers_as_numbers(spark):
+    df = spark.createDataFrame([(n, str(n), n / 2) for n in (100, 9, 20, -3, 9)], "n int, t string, d double")
+    got = {(r["column"], r["position"]): r["value"] for r in P.value_samples(df, per_column=3).collect()}
+    assert [got["n", i] for i in (1, 2, 3)] == ["-3", "9", "20"]
+    assert [got["t", i] for i in (1, 2, 3)] == ["-3", "100", "20"]
+    assert [got["d", i] for i in (1, 2, 3)] == ["-1.5", "4.5", "10.0"]
