@@ -100,22 +100,20 @@ def density(df: DataFrame, value: str, points: int, by: str | None = None, level
         F.max("value").alias("hi"),
         (F.stddev_samp("value") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"),
     ).alias("s")).where("s.n > 0")
-    # One row, or one per level.
-    stats = store(stats.withColumn("step", (F.col("s.hi") - F.col("s.lo")) / (points - 1)), fresh_dir(df.sparkSession, "spans"))
-    grid = stats.select(
-        *keys, "step", "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    # One row, or one per level; Spark computes it once for both its uses.
+    grid = stats.select(*keys, "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     counts = ordered.value_counts(data, "value", keys)
     if by:
         counts = counts.join(F.broadcast(stats), by)
     else:
-        counts = counts.withColumns({c: stats.select(c).scalar() for c in ("s", "step")})
-    reach = REACH * F.col("s.h")
-    first = F.ceil((F.col("value") - reach - F.col("s.lo")) / F.nullif(F.col("step"), F.lit(0.0)))
-    last = F.floor((F.col("value") + reach - F.col("s.lo")) / F.nullif(F.col("step"), F.lit(0.0)))
+        counts = counts.withColumn("s", stats.scalar())
+    reach, step = REACH * F.col("s.h"), (F.col("s.hi") - F.col("s.lo")) / (points - 1)
+    first = F.ceil((F.col("value") - reach - F.col("s.lo")) / F.nullif(step, F.lit(0.0)))
+    last = F.floor((F.col("value") + reach - F.col("s.lo")) / F.nullif(step, F.lit(0.0)))
     first, last = F.greatest(first, F.lit(0)).cast("int"), F.least(last, F.lit(points - 1)).cast("int")
     near = counts.withColumns({"first": first, "last": last}).where("first <= last").select(
-        *keys, "value", "step", "s", "n", F.explode(F.sequence("first", "last")).alias("point"))
-    x = F.col("s.lo") + F.col("point") * F.col("step")
+        *keys, "value", "s", "n", F.explode(F.sequence("first", "last")).alias("point"))
+    x = F.col("s.lo") + F.col("point") * step
     z = (x - F.col("value")) / F.nullif(F.col("s.h"), F.lit(0.0))
     weight = F.col("n") / F.nullif(F.col("s.n") * F.col("s.h") * math.sqrt(2 * math.pi), F.lit(0.0))
     sums = near.groupBy(*keys, "point").agg(F.sum(weight * F.exp(-0.5 * z * z)).alias("density"))

@@ -47,7 +47,7 @@ def _cutoffs(
     Hashes are counted in 16**4 cells, which names the cell holding the cut
     and how many of its rows are still wanted. The rows of that cell, a
     65,536th of the group, are stored and cut the same way once more, so that
-    only a 65,536th of them is ordered row by row. The handful of positions is stored.
+    only a 65,536th of them is ordered row by row.
     """
     spark = df.sparkSession
     keyed = df.select(*by, _position(key, seed).alias("_at"))
@@ -59,7 +59,7 @@ def _cutoffs(
     edges = _edges(near, rest, 2 * CELL_DIGITS, lambda _: F.col("_rest"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("_at"))
     last = _inside(near, rest, 2 * CELL_DIGITS, edges).withColumn("_place", place).where("_place = _left")
-    return store(last.select(*by, F.col("_at").alias("_cut")), fresh_dir(spark, "cuts"))
+    return last.select(*by, F.col("_at").alias("_cut"))
 
 
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = schemas.SEED) -> DataFrame:
@@ -93,6 +93,7 @@ def stratified_split(
         df.where(F.col(label).isin(*levels)), key,
         lambda total: F.floor(F.lit(fraction) * total + 0.5), seed, [label],
     )
+    cuts = store(cuts, fresh_dir(df.sparkSession, "cuts"))  # both parts read the handful of positions
     # At most one row per listed level.
     marked = df.join(F.broadcast(cuts), label, "left").withColumn(
         "_first", F.coalesce(_position(key, seed) <= F.col("_cut"), F.lit(False))
