@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,10 +18,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from ledgerline.llm.common import ship, whole_text
+from ledgerline.llm.letters import spelled
 
-#: Unicode white space, spelled out: regex engines differ on the separators 1C-1F.
-WHITE_SPACE = "\t-\r" + "".join(map(chr, (
-    0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Words of more bytes are merged through a heap.
+LONG_WORD = 64
 #: Entries a worker remembers before it starts afresh; bounds its memory.
 REMEMBERED = 200_000
 
@@ -31,17 +32,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def word_pattern(pattern: str) -> regex.Pattern:
-    """The splitting pattern with ``\\s`` and ``\\S`` spelled out."""
-    spelled = pattern.replace(r"[^\s", f"[^{WHITE_SPACE}").replace(r"\S", f"[^{WHITE_SPACE}]")
-    return regex.compile(spelled.replace(r"\s", f"[{WHITE_SPACE}]"))
-
-
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: fold the lowest-ranked neighbouring pair, leftmost first, till none is left."""
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    if len(word) > LONG_WORD:
+        return _merge_long(word, ranks)
     pieces = [word[i : i + 1] for i in range(len(word))]
     none = len(ranks) + 1
     pairs = [ranks.get(word[i : i + 2], none) for i in range(len(word) - 1)]
@@ -59,13 +56,38 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece] for piece in pieces]
 
 
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges with the pairs in a heap: n log n for a word of n bytes.
+
+    A piece is known by its first byte. A pair of the heap holds while its
+    first piece is there and the two still end where they did.
+    """
+    size = len(word)
+    end, before, there = list(range(1, size + 1)), list(range(-1, size)), [True] * size
+    pairs = [(rank, i, i + 2) for i in range(size - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(pairs)
+    while pairs:
+        _, i, stop = heapq.heappop(pairs)
+        follower = end[i]
+        if not there[i] or follower >= stop or end[follower] != stop:
+            continue
+        there[follower], end[i] = False, stop
+        before[stop] = i
+        for first in (before[i], i):
+            if first >= 0 and end[first] < size:
+                last = end[end[first]]
+                if (rank := ranks.get(word[first:last])) is not None:
+                    heapq.heappush(pairs, (rank, first, last))
+    return [ranks[word[i : end[i]]] for i in range(size) if there[i]]
+
+
 class ByteBpe:
     """Encoder and decoder with a bounded memory of stretches and words."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.pieces = {rank: piece for piece, rank in ranks.items()}
-        self.pattern = word_pattern(pattern)
+        self.pattern = regex.compile(spelled(pattern))
         self.words: dict[str, tuple[int, ...]] = {}
         self.stretches: dict[str, tuple[bytes, int, bytes]] = {}
 
@@ -74,7 +96,9 @@ class ByteBpe:
         if ids is None:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            ids = self.words[word] = tuple(merge_word(word.encode(), self.ranks))
+            ids = tuple(merge_word(word.encode(), self.ranks))
+            if len(word) <= LONG_WORD:
+                self.words[word] = ids
         return ids
 
     def decode(self, ids) -> bytes:
@@ -88,7 +112,7 @@ class ByteBpe:
                 self.stretches.clear()
             ids = [i for word in self.pattern.findall(text) for i in self.word(word)]
             known = (b"%b," % ",".join(map(str, ids)).encode(), len(ids), self.decode(ids))
-            if len(text) <= 64:
+            if len(text) <= LONG_WORD:
                 self.stretches[text] = known
         return known
 
@@ -124,7 +148,7 @@ def coder_of(key: str, ranks: dict[bytes, int], pattern: str) -> ByteBpe:
 
 def _coding(docs: DataFrame, ranks_path: str, pattern: str):
     ship(docs.sparkSession)
-    ranks = read_ranks(ranks_path)
+    ranks, pattern = read_ranks(ranks_path), spelled(pattern)
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # as large as the vocabulary
     return lambda: coder_of(key, shared.value, pattern)
