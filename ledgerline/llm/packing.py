@@ -6,7 +6,6 @@ import hashlib
 import heapq
 import json
 import re
-import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
@@ -14,12 +13,11 @@ from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from ledgerline.llm.byte_bpe import WHITE_SPACE
 from ledgerline.llm.common import ship, stored, whole_text
+from ledgerline.llm.letters import WHITE_SPACE
 
 WINDOW = 4096
 #: Context sizes, longest first; each halves the one before.
@@ -33,8 +31,8 @@ GROUP_WINDOWS = 256
 STEP_SEQUENCES = 64
 #: Entries a worker remembers before it sets them aside; bounds its memory.
 REMEMBERED = 200_000
-#: The splitting pattern of the word-end vocabulary, applied to lower-cased text.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+"
+#: The splitting pattern of the word-end vocabulary on lower-cased ASCII text.
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _SPACE = re.compile(f"[{WHITE_SPACE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -51,6 +49,8 @@ class WordIds:
 
     White space only separates, so each stretch between white space is encoded
     once, and each distinct word in it once, by the tokenizer's own model.
+    Stretches beyond ASCII are lower-cased and split by the tokenizer's own
+    normalizer and splitter, whose Unicode tables may be newer than Python's.
     ``encode`` takes plain text, ``encode_raw`` also finds the added tokens.
     """
 
@@ -62,8 +62,8 @@ class WordIds:
             self.added[token["content"]] = token["id"].to_bytes(4, "little")
         literals = sorted(self.added, key=len, reverse=True)  # at one place the longest counts
         self.cut = re.compile("(" + "|".join(map(re.escape, literals)) + ")") if literals else None
-        self.model = Tokenizer.from_buffer(definition).model
-        self.words = regex.compile(WORDS)
+        self.tokenizer = Tokenizer.from_buffer(definition)
+        self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.of_word: dict[str, bytes] = {}
         self.of_stretch: dict[str, bytes] = {}
@@ -76,8 +76,7 @@ class WordIds:
         if ids is None and (ids := self.older_words.get(word)) is not None:
             self.of_word[word] = ids
         if ids is None:
-            mapped = word.encode().decode("latin-1").translate(self.letters)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
             if len(self.of_word) >= REMEMBERED:
                 self.older_words, self.of_word = self.of_word, {}
             if len(word) <= 64:
@@ -88,10 +87,12 @@ class WordIds:
         if (ids := self.older_stretches.get(stretch)) is not None:
             self.of_stretch[stretch] = ids
             return ids
-        composed = unicodedata.normalize("NFC", stretch)
-        # Letter by letter: a whole word would get a final sigma.
-        lower = "".join([c.lower() for c in composed]) if "Σ" in composed else composed.lower()
-        ids = b"".join([self._word(word) for word in self.words.findall(lower)])
+        if stretch.isascii():
+            words = [word.translate(self.letters) for word in WORDS.findall(stretch.lower())]
+        else:
+            lower = self.tokenizer.normalizer.normalize_str(stretch)
+            words = [word for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(lower)]
+        ids = b"".join([self._word(word) for word in words])
         if len(self.of_stretch) >= REMEMBERED:
             self.older_stretches, self.of_stretch = self.of_stretch, {}
         if len(stretch) <= 64:
@@ -281,16 +282,16 @@ def pack_pieces(
 ) -> DataFrame:
     """Cut and place pieces that come with ``_planes``; ``sequence_id``, ``offset``, ``tier`` and ``step_group`` take its place.
 
-    Pieces are dealt into groups of about ``group_windows`` windows by a hash
-    of id, start and check sum, whatever document or source they come from.
+    Pieces, which should be a stored table, are dealt into groups of about
+    ``group_windows`` windows by a hash of their place in it, whatever document
+    or source they come from and however often a row is repeated.
     Full windows are dealt likewise. A group leaves at most one sequence
     partly empty. Ids move with the pieces, as the parts of a cut piece need
     check sums of their own.
     """
     total = pieces.agg(F.sum("length").alias("n")).first()["n"] or 0
     groups = max(1, round(total / (window * group_windows)))
-    salt = F.xxhash64(id_col, "start", "ids_crc32", "doc_tokens")
-    dealt = pieces.withColumn("_group", F.pmod(salt, F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = T.StructType([
         *[f for f in dealt.schema.fields if f.name != "_planes"], T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType()), T.StructField("tier", T.IntegerType()),
