@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
@@ -20,8 +21,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerline.llm.common import ship, whole_text
 
-#: Labelled rows used to fit, at most (in expectation); drawn by a hash of the id.
+#: Labelled rows used to fit, at most (in expectation) beside those of MIN_PER_CLASS; drawn by a hash of the id.
 MAX_LABELLED = 5_000
+#: Rows of each class of the last category that are drawn (in expectation) where there are as many.
+MIN_PER_CLASS = 500
 #: Words a model may weigh: those in most sampled rows, in at least MIN_ROWS.
 MAX_WORDS = 50_000
 MIN_ROWS = 5
@@ -43,16 +46,20 @@ CHAIN = (Category("low_quality", "1 - quality"), Category("toxic", "toxic"))
 
 
 class Rows(NamedTuple):
-    """Distinct word numbers of each row, row by row."""
+    """Distinct word numbers of each row, row by row, and what each row stands for."""
 
     words: np.ndarray
     row: np.ndarray
-    count: int
+    weight: np.ndarray
+
+    @property
+    def count(self) -> int:
+        return len(self.weight)
 
     def only(self, keep: np.ndarray) -> "Rows":
         place = np.cumsum(keep) - 1
         taken = keep[self.row]
-        return Rows(self.words[taken], place[self.row[taken]], int(keep.sum()))
+        return Rows(self.words[taken], place[self.row[taken]], self.weight[keep])
 
 
 class Linear(NamedTuple):
@@ -81,10 +88,11 @@ def _sigmoid(z):
 
 def fit_linear(rows: Rows, labels: np.ndarray, earlier: np.ndarray, size: int) -> Linear:
     """Logistic regression on words scaled by their class log-ratio, rows of unit length."""
-    hits = np.bincount(rows.words, weights=labels[rows.row], minlength=size)
-    seen = np.bincount(rows.words, minlength=size)
-    positives = labels.sum()
-    ratios = np.log((hits + 1) / (positives + 2)) - np.log((seen - hits + 1) / (rows.count - positives + 2))
+    weight, total = rows.weight, max(rows.weight.sum(), 1)
+    hits = np.bincount(rows.words, weights=(weight * labels)[rows.row], minlength=size)
+    seen = np.bincount(rows.words, weights=weight[rows.row], minlength=size)
+    positives = (weight * labels).sum()
+    ratios = np.log((hits + 1) / (positives + 2)) - np.log((seen - hits + 1) / (total - positives + 2))
     values = ratios[rows.words]
     norms = np.sqrt(np.bincount(rows.row, weights=values**2, minlength=rows.count) + 1)
     values = values / norms[rows.row]
@@ -93,7 +101,7 @@ def fit_linear(rows: Rows, labels: np.ndarray, earlier: np.ndarray, size: int) -
     step = 4.0 / (2 + earlier.shape[1])
     for _ in range(ROUNDS):
         z = np.bincount(rows.row, weights=w_at[rows.words] * values, minlength=rows.count)
-        gap = (_sigmoid(z + earlier @ e_at + b_at) - labels) / max(rows.count, 1)
+        gap = (_sigmoid(z + earlier @ e_at + b_at) - labels) * weight / total
         slope = np.bincount(rows.words, weights=gap[rows.row] * values, minlength=size)
         w_new = w_at - step * (slope + RIDGE * w_at)
         e_new = e_at - step * (earlier.T @ gap + RIDGE * e_at)
@@ -111,11 +119,11 @@ def predict_rows(model: Linear, rows: Rows, earlier: np.ndarray) -> np.ndarray:
     return _sigmoid(total / norms + earlier @ model.earlier + model.bias)
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+def best_threshold(scores: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:
     """The cut with the best F1 on out-of-fold probabilities, half way to the next lower one."""
     order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    hits = np.cumsum((weight * labels)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + (weight * labels).sum())
     at = int(np.argmax(f1))
     below = scores[order[at + 1]] if at + 1 < len(order) else 0.0
     return float((scores[order[at]] + below) / 2)
@@ -123,35 +131,55 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, chain: Sequence[Category] = CHAIN, id_col: str = "doc_id",
-    text_col: str = "text", max_labelled: int = MAX_LABELLED,
+    text_col: str = "text", max_labelled: int = MAX_LABELLED, min_per_class: int = MIN_PER_CLASS,
 ) -> DataFrame:
-    """A bounded draw of labelled documents: ``fold``, one 0/1 column per category, ``words``.
+    """A bounded draw of labelled documents: ``words``, one 0/1 column per category, ``weight`` and ``_draw``.
 
-    Rows without an id or with a NULL in any label are left out. The drawn
-    labels are few, so they travel to the documents and not the other way.
+    Rows without an id or with a NULL in any label are left out; of several labels or documents
+    of an id the least counts. All rows are drawn with one chance, but a rare
+    class of the last category with a higher one, so that it is not
+    missed; ``weight`` makes up for that. The drawn labels are few, so they
+    travel to the documents and not the other way.
     """
-    known = labels.select(
-        F.col(id_col).alias("_id"), *[F.expr(c.label).cast("int").alias(f"_y{i}") for i, c in enumerate(chain)],
-    ).dropna().dropDuplicates(["_id"])
-    share = min(1.0, max_labelled / max(known.count(), 1))
+    ship(docs.sparkSession)
+    last = f"_y{len(chain) - 1}"
+    values = [F.expr(c.label).cast("int").alias(f"_y{i}") for i, c in enumerate(chain)]
+    known = labels.select(F.col(id_col).alias("_id"), *values).dropna().groupBy("_id").agg(
+        F.min(F.struct(*[f"_y{i}" for i in range(len(chain))])).alias("_y")).select("_id", "_y.*")
+    known = known.where(F.col(last).isin(0, 1))
+    sizes = {r[0]: r[1] for r in known.groupBy(last).agg(F.count(F.lit(1))).collect()}  # two classes
+    even = min(1.0, max_labelled / max(sum(sizes.values()), 1))
+    chance = {c: min(1.0, max(even, min_per_class / n)) for c, n in sizes.items()}
+    share = F.when(F.col(last) == 1, F.lit(chance.get(1, 1.0))).otherwise(F.lit(chance.get(0, 1.0)))
     draw = F.pmod(F.xxhash64("_id", F.lit("labelled")), F.lit(1 << 30))
-    drawn = known.where(draw < int(share * (1 << 30)))
+    drawn = known.withColumns({"_draw": draw, "weight": F.lit(even) / share}).where(F.col("_draw") < share * (1 << 30))
     rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-    return rows.join(F.broadcast(drawn), "_id").select(
-        F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"),
-        *[f"_y{i}" for i in range(len(chain))],
-        F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+")).alias("words"),
-    )
+    found = rows.join(F.broadcast(drawn), "_id")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [sorted(words_of(text.as_py())) for text in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(words, pa.list_(pa.string()))], [*batch.schema.names[:-1], "words"])
+
+    keys = ["_id", "_draw", "weight", *[f"_y{i}" for i in range(len(chain))]]
+    texts = found.select(*keys, "_text")
+    schema = T.StructType([*texts.schema.fields[:-1], T.StructField("words", T.ArrayType(T.StringType()))])
+    return texts.mapInArrow(split, schema).groupBy(*keys).agg(F.min("words").alias("words"))
 
 
 def fit_chain(training: DataFrame, chain: Sequence[Category] = CHAIN) -> Chain | None:
-    """Fit the categories in order; None where a fold lacks a class of a category."""
-    table = training.toArrow()
-    lists = table["words"].combine_chunks()
+    """Fit the categories in order; None where the last one has no row of one of its classes.
+
+    Rows are dealt to folds within each class, so every fold has its share of
+    a rare one. An earlier category that is constant says nothing and harms nothing.
+    """
+    last = f"_y{len(chain) - 1}"
+    table = training.orderBy(last, "_draw", "words").drop("_id").toArrow()
+    lists = table["words"].combine_chunks() if table.num_rows else []
     counts: Counter = Counter()
     for words in lists:
         counts.update(words.as_py())
-    del counts[""]
     kept = sorted((w for w, n in counts.items() if n >= MIN_ROWS), key=lambda w: (-counts[w], w))[:MAX_WORDS]
     vocabulary = {word: i for i, word in enumerate(kept)}
     numbers, at = [], []
@@ -159,14 +187,16 @@ def fit_chain(training: DataFrame, chain: Sequence[Category] = CHAIN) -> Chain |
         own = [vocabulary[w] for w in words.as_py() if w in vocabulary]
         numbers += own
         at += [i] * len(own)
-    rows = Rows(np.array(numbers, dtype=np.int64), np.array(at, dtype=np.int64), len(lists))
-    fold = table["fold"].to_numpy()
+    rows = Rows(np.array(numbers, dtype=np.int64), np.array(at, dtype=np.int64), table["weight"].to_numpy())
+    decisive = table[last].to_numpy()
+    if len(set(decisive)) < 2:
+        warnings.warn(f"no labelled row of one class of {chain[-1].name!r}: nothing can be told apart", stacklevel=2)
+        return None
+    fold = np.arange(rows.count) % FOLDS  # rows are sorted by class
     earlier = np.zeros((rows.count, 0))
     models = []
     for i in range(len(chain)):
         y = table[f"_y{i}"].to_numpy().astype(float)
-        if any(len(set(y[fold == k])) < 2 for k in range(FOLDS)):
-            return None
         models.append(fit_linear(rows, y, earlier, len(kept)))
         unseen = np.zeros(rows.count)
         for k in range(FOLDS):
@@ -174,7 +204,8 @@ def fit_chain(training: DataFrame, chain: Sequence[Category] = CHAIN) -> Chain |
             part = fit_linear(rows.only(inside), y[inside], earlier[inside], len(kept))
             unseen[~inside] = predict_rows(part, rows.only(~inside), earlier[~inside])
         earlier = np.column_stack([earlier, unseen])
-    return Chain(tuple(c.name for c in chain), vocabulary, tuple(models), best_threshold(earlier[:, -1], y))
+    threshold = best_threshold(earlier[:, -1], y, rows.weight)
+    return Chain(tuple(c.name for c in chain), vocabulary, tuple(models), threshold)
 
 
 def predict_text(chain: Chain, text: str) -> list[float]:
@@ -196,8 +227,8 @@ def score_toxicity(
 
     ``rejected`` says that the last category reaches ``threshold``, by default
     the one that does best on out-of-fold probabilities. NULL and
-    empty texts have no words and get the base rate. Without labels of both
-    classes in each fold nothing is rejected and probabilities are NULL.
+    empty texts have no words and get the base rate. Without any label of one class of the last
+    category there is nothing to learn: a warning is given, probabilities are NULL and nothing is rejected.
     Repeated rows repeat; no rows in, no rows out; a column of the documents
     with the name of a result column is replaced. Scoring is one narrow pass.
     """
