@@ -32,10 +32,12 @@ class Rule(NamedTuple):
     def name(self) -> str:
         return self.host + self.path
 
-    def regex(self) -> str:
-        """Matched against host + newline + path."""
-        host = rf"(?:[^\n]*\.)?{re.escape(self.host)}" if self.host else r"[^\n]*"
-        return host + r"\n" + ".*".join(re.escape(part) for part in self.path.split("*"))
+    def fits_host(self, host: str) -> bool:
+        return not self.host or host == self.host or host.endswith("." + self.host)
+
+    def path_regex(self) -> str:
+        """Matched from the start of the path."""
+        return ".*".join(re.escape(part) for part in self.path.split("*"))
 
     def tokens(self) -> set[str]:
         """Literal tokens that every fitting URL holds whole.
@@ -101,7 +103,7 @@ def judge_urls(
     ship(urls.sparkSession)
     tokens = set().union(*[rule.tokens() for rule in rules]) if rules else set()
     index, always = index_rules(rules, token_counts(urls, url_col, tokens) if tokens else {})
-    plain = [(rule.verdict, rule.name, rule.regex()) for rule in rules]
+    rules = list(rules)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns: dict[int, re.Pattern] = {}
@@ -113,14 +115,16 @@ def judge_urls(
                 found += index.get(token, ())
             best = None
             for number in sorted(found):
+                rule = rules[number]
+                if (best is not None and len(rule.name) <= len(best.name)) or not rule.fits_host(host):
+                    continue
                 if number not in patterns:
-                    patterns[number] = re.compile(plain[number][2], re.DOTALL)
-                name = plain[number][1]
-                if (best is None or len(name) > len(plain[best][1])) and patterns[number].match(f"{host}\n{path}"):
-                    best = number
+                    patterns[number] = re.compile(rule.path_regex(), re.DOTALL)
+                if patterns[number].match(path):
+                    best = rule
             if best is None:
                 return host, path, None, default
-            return host, path, plain[best][1], plain[best][0]
+            return host, path, best.name, best.verdict
 
         for batch in batches:
             rows = [verdict(url) for url in batch.column(1).to_pylist()]
