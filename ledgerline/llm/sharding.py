@@ -164,18 +164,19 @@ def shard_documents(
     One row per input row: id, ``size`` (UTF-8 bytes of the text plus 1; NULL
     text has none), ``text_crc32``, ``law``, ``shard``, ``slot`` (gapless from
     0 within the shard) and ``grown_shard`` (NULL under this law). Equal texts
-    have equal keys and share a shard unless they fill more than one. NULL ids
-    come first among equal texts; repeated rows take a slot each. No rows, no
-    shards. Only keys move: the texts are read once.
+    have equal keys and share a shard unless they fill more than one. Ids of any
+    type, NULL and repeated ones too, are only handed through: equal texts are told
+    apart by their place in the input, so repeated rows take a slot each and
+    are divided like any others. No rows, no shards. Only keys move: the texts are read once.
 
     The driver holds a sample bounded by the number of ranges, and one row per
-    range. Each range is ordered by its own task; a hot text is cut by id.
+    range. Each range is ordered by its own task; a hot text is cut by its rows' places.
     """
     spark = docs.sparkSession
     ship(spark)
     text = whole_text(text_col)
     keys = stored(docs.select(
-        F.col(id_col).alias("_given"), F.coalesce(F.col(id_col), F.lit(FIRST_ID)).alias("_id"),
+        F.col(id_col).alias("_given"), F.monotonically_increasing_id().alias("_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_hash"),
     ), "shard-keys")
