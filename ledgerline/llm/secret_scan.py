@@ -17,15 +17,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.llm.common import discard, ship, stored, whole_text
 
 #: Guesses (log10) from which a credential value counts as a secret.
 MIN_GUESSES = 8.0
-#: Shorter values are not judged.
-MIN_VALUE = 6
 #: log10 of the choice where the next segment begins and of which kind it is.
 SEGMENT = math.log10(20)
 
@@ -80,13 +78,12 @@ class Segment(NamedTuple):
 class WordRanks:
     """Ranks of words by 64-bit hash in sorted arrays, 12 bytes a word, and of a few words by name."""
 
-    def __init__(self, first: dict[str, int], words: pa.ChunkedArray, ranks: np.ndarray):
+    def __init__(self, first: dict[str, int], hashes: np.ndarray, ranks: np.ndarray, lengths: Sequence[int]):
         self.first = first
-        hashes = np.fromiter((_hash(w.as_py()) for w in words), np.uint64, len(words))
         order = np.argsort(hashes)
-        self.hashes = array("Q", hashes[order].tobytes())
+        self.hashes = array("q", hashes[order].astype(np.int64).tobytes())
         self.ranks = array("I", ranks[order].astype(np.uint32).tobytes())
-        self.lengths = sorted({len(w) for w in first}.union(pc.unique(pc.utf8_length(words)).to_pylist()))
+        self.lengths = sorted({len(w) for w in first}.union(lengths))
 
     def get(self, word: str) -> int | None:
         rank, key = self.first.get(word), _hash(word)
@@ -97,7 +94,9 @@ class WordRanks:
 
 
 def _hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    """As Spark's ``xxhash64`` has it."""
+    value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def _walk_ends(text: str) -> list[int]:
@@ -242,7 +241,7 @@ def guess_spans(text: str, words: dict[str, int], least: float = MIN_GUESSES) ->
     found = []
     for match in CONTEXT.finditer(text):
         value = match[1].rstrip(".!?:)")
-        if len(value) >= MIN_VALUE and cheapest_segments(value, words, least)[0] >= least:
+        if cheapest_segments(value, words, least)[0] >= least:
             found.append(("guess", match.start(1), match.start(1) + len(value)))
     return found
 
@@ -265,7 +264,8 @@ def corpus_ranks(
     not counted, or each secret would be a known word. A word's rank is the
     number of words that come as often or oftener. A word whose own cost
     reaches ``least`` cannot bring a value below it, so only ranks under
-    10^(least - SEGMENT) are kept: 5 million by default, 60 MB at most.
+    10^(least - SEGMENT) are kept: 5 million by default, 60 MB at most. Words
+    are hashed on the executors; hashes, counts and the lengths in use come here, no words.
     """
     prose = F.regexp_replace(whole_text(text_col), _CONTEXT_JAVA, "$1 ")
     parts = docs.select(F.explode(F.split(F.lower(prose), r"[^\p{L}]+")).alias("word"))
@@ -277,10 +277,14 @@ def corpus_ranks(
         if math.log10(rank + 1) + SEGMENT >= least:
             break
         of_count[times] = rank
-    kept = counts.where(F.col("count") >= min(of_count, default=math.inf)).toArrow()
+    known = counts.where(F.col("count") >= F.lit(min(of_count, default=(1 << 63) - 1)))
+    lengths = [r[0] for r in known.select(F.length("word")).distinct().collect()]
+    kept = known.select(F.xxhash64("word").alias("hash"), "count").toArrow()
     discard(counts)
-    ranks = np.fromiter(map(of_count.get, kept["count"].to_pylist()), np.int64, len(kept))
-    return WordRanks(word_ranks(words), kept["word"], ranks)
+    times = np.array(sorted(of_count), np.int64)
+    ranks = np.array([of_count[t] for t in times.tolist()], np.int64)
+    place = np.searchsorted(times, kept["count"].to_numpy())
+    return WordRanks(word_ranks(words), kept["hash"].to_numpy(), ranks[place] if len(ranks) else place, lengths)
 
 
 def scan_secrets(
