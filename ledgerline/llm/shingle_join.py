@@ -32,8 +32,6 @@ FREQUENT = 50_000
 FREQUENT_FROM = 4
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -42,25 +40,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_BYTES = _mix(np.arange(1, 257, dtype=np.uint64))
-_BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[list(_SPACES)] = True
-_powers = np.ones(1, dtype=np.uint64)
-_inverses = np.ones(1, dtype=np.uint64)
-
-
-def _grow(size: int) -> None:
-    global _powers, _inverses
-    if len(_powers) < size:
-        count = max(size, 2 * len(_powers))
-        steps = np.full(count, _BASE, dtype=np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps)
-        steps[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
-        _inverses = np.cumprod(steps)
-
-
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of all runs of ``words`` words.
 
@@ -68,15 +47,11 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     tab, form feed and carriage return. Fewer words are one shingle; none,
     none.
     """
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    inside = np.concatenate([[False], ~_IS_SPACE[data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
+    # Bytes are lowered and split at ASCII only; words are hashed as a whole, by a hash without linear structure.
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if not found:
         return np.zeros(0, dtype=np.uint64)
-    _grow(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * _powers[: len(data)])])
-    word = _mix((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(np.uint64))
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     width = min(words, len(word))
     runs = np.zeros(len(word) - width + 1, dtype=np.uint64)
     for i in range(width):
