@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import json
 import re
+import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
@@ -13,11 +14,12 @@ from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
 from ledgerline.llm.common import ship, stored, whole_text
-from ledgerline.llm.letters import WHITE_SPACE
+from ledgerline.llm.letters import FIRST_UNASSIGNED, WHITE_SPACE
 
 WINDOW = 4096
 #: Context sizes, longest first; each halves the one before.
@@ -31,8 +33,10 @@ GROUP_WINDOWS = 256
 STEP_SEQUENCES = 64
 #: Entries a worker remembers before it sets them aside; bounds its memory.
 REMEMBERED = 200_000
-#: The splitting pattern of the word-end vocabulary on lower-cased ASCII text.
-WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The splitting pattern of the word-end vocabulary on lower-cased text: in ASCII, and before any unassigned code point.
+_QUOTED = "'s|'t|'re|'ve|'m|'ll|'d|"
+ASCII_WORDS = re.compile(_QUOTED + "[a-z]+|[0-9]|[^a-z0-9]+")
+EARLY_WORDS = regex.compile(_QUOTED + r"[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+")
 _SPACE = re.compile(f"[{WHITE_SPACE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -49,8 +53,8 @@ class WordIds:
 
     White space only separates, so each stretch between white space is encoded
     once, and each distinct word in it once, by the tokenizer's own model.
-    Stretches beyond ASCII are lower-cased and split by the tokenizer's own
-    normalizer and splitter, whose Unicode tables may be newer than Python's.
+    Stretches that go beyond ``FIRST_UNASSIGNED`` are lower-cased and split by the tokenizer's own
+    normalizer and splitter, whose Unicode tables may differ from Python's.
     ``encode`` takes plain text, ``encode_raw`` also finds the added tokens.
     """
 
@@ -76,7 +80,8 @@ class WordIds:
         if ids is None and (ids := self.older_words.get(word)) is not None:
             self.of_word[word] = ids
         if ids is None:
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
+            mapped = word.translate(self.letters) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
             if len(self.of_word) >= REMEMBERED:
                 self.older_words, self.of_word = self.of_word, {}
             if len(word) <= 64:
@@ -88,11 +93,14 @@ class WordIds:
             self.of_stretch[stretch] = ids
             return ids
         if stretch.isascii():
-            words = [word.translate(self.letters) for word in WORDS.findall(stretch.lower())]
+            ids = b"".join([self._word(word) for word in ASCII_WORDS.findall(stretch.lower())])
+        elif max(stretch) < FIRST_UNASSIGNED:
+            lower = unicodedata.normalize("NFC", stretch).lower()
+            ids = b"".join([self._word(word) for word in EARLY_WORDS.findall(lower)])
         else:
             lower = self.tokenizer.normalizer.normalize_str(stretch)
-            words = [word for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(lower)]
-        ids = b"".join([self._word(word) for word in words])
+            words = self.tokenizer.pre_tokenizer.pre_tokenize_str(lower)
+            ids = b"".join([t.id.to_bytes(4, "little") for word, _ in words for t in self.model.tokenize(word)])
         if len(self.of_stretch) >= REMEMBERED:
             self.older_stretches, self.of_stretch = self.of_stretch, {}
         if len(stretch) <= 64:
