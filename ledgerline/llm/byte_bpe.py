@@ -14,16 +14,15 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from ledgerline.llm.common import ship, whole_text
-from ledgerline.llm.letters import spelled
+from ledgerline.llm.letters import Splitter, spelled
 
 #: Words of more bytes are merged through a heap.
 LONG_WORD = 64
-#: Entries a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 200_000
+#: Entries a worker remembers before it sets them aside; bounds its memory.
+REMEMBERED = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,21 +81,27 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class ByteBpe:
-    """Encoder and decoder with a bounded memory of stretches and words."""
+    """Encoder and decoder with a bounded memory of stretches and words.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    ``every`` is the pattern ``spelled``, given where that is known already.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, every: str | None = None):
         self.ranks = ranks
         self.pieces = {rank: piece for piece, rank in ranks.items()}
-        self.pattern = regex.compile(spelled(pattern))
+        self.split = Splitter(pattern, every or spelled(pattern))
         self.words: dict[str, tuple[int, ...]] = {}
+        # Words set aside come back when used again; the others go next time.
+        self.older_words: dict[str, tuple[int, ...]] = {}
         self.stretches: dict[str, tuple[bytes, int, bytes]] = {}
+        self.older_stretches: dict[str, tuple[bytes, int, bytes]] = {}
 
     def word(self, word: str) -> tuple[int, ...]:
         ids = self.words.get(word)
         if ids is None:
+            ids = self.older_words.get(word) or tuple(merge_word(word.encode(), self.ranks))
             if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = tuple(merge_word(word.encode(), self.ranks))
+                self.older_words, self.words = self.words, {}
             if len(word) <= LONG_WORD:
                 self.words[word] = ids
         return ids
@@ -107,10 +112,12 @@ class ByteBpe:
     def stretch(self, text: str) -> tuple[bytes, int, bytes]:
         """Decimal ids joined by commas, their number, and their bytes decoded."""
         known = self.stretches.get(text)
+        if known is None and (known := self.older_stretches.get(text)) is not None:
+            self.stretches[text] = known
         if known is None:
             if len(self.stretches) >= REMEMBERED:
-                self.stretches.clear()
-            ids = [i for word in self.pattern.findall(text) for i in self.word(word)]
+                self.older_stretches, self.stretches = self.stretches, {}
+            ids = [i for word in self.split(text) for i in self.word(word)]
             known = (b"%b," % ",".join(map(str, ids)).encode(), len(ids), self.decode(ids))
             if len(text) <= LONG_WORD:
                 self.stretches[text] = known
@@ -138,20 +145,20 @@ class ByteBpe:
 _coders: dict[str, ByteBpe] = {}
 
 
-def coder_of(key: str, ranks: dict[bytes, int], pattern: str) -> ByteBpe:
+def coder_of(key: str, ranks: dict[bytes, int], pattern: str, every: str) -> ByteBpe:
     """The worker's coder for these ranks; later tasks use what it remembers."""
     if key not in _coders:
         _coders.clear()
-        _coders[key] = ByteBpe(ranks, pattern)
+        _coders[key] = ByteBpe(ranks, pattern, every)
     return _coders[key]
 
 
 def _coding(docs: DataFrame, ranks_path: str, pattern: str):
     ship(docs.sparkSession)
-    ranks, pattern = read_ranks(ranks_path), spelled(pattern)
+    ranks, every = read_ranks(ranks_path), spelled(pattern)
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # as large as the vocabulary
-    return lambda: coder_of(key, shared.value, pattern)
+    return lambda: coder_of(key, shared.value, pattern, every)
 
 
 def encode_texts(

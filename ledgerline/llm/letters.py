@@ -6,6 +6,7 @@ that are not assigned; tokenizers go by the assigned ones alone.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -17,6 +18,10 @@ WHITE_SPACE = "\t-\r" + "".join(map(chr, (
     0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
+#: The first code point that is not assigned: engines agree on the letters and numbers before it.
+FIRST_UNASSIGNED = "\u0378"
+
+
 @lru_cache
 def unicode_class(initial: str) -> str:
     """The code points whose category begins with a letter, as ranges for a bracket expression."""
@@ -25,10 +30,10 @@ def unicode_class(initial: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
 
 
-def spelled(pattern: str) -> str:
+def spelled(pattern: str, classes=unicode_class) -> str:
     r"""The pattern with ``\s``, ``\S``, ``\p{L}`` and ``\p{N}`` replaced by what they stand for."""
     def ranges(name: str) -> str:
-        return WHITE_SPACE if name.lower() == r"\s" else unicode_class(name[3])
+        return WHITE_SPACE if name.lower() == r"\s" else classes(name[3])
 
     def put(match: regex.Match) -> str:
         part = match[0]
@@ -37,3 +42,17 @@ def spelled(pattern: str) -> str:
         return f"[{'^' if part == chr(92) + 'S' else ''}{ranges(part)}]"
 
     return regex.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", put, pattern)
+
+
+class Splitter:
+    """The matches of a pattern as tokenizers find them, by short classes where these say the same."""
+
+    def __init__(self, pattern: str, every: str):
+        self.ascii = re.compile(spelled(pattern, {"L": "A-Za-z", "N": "0-9"}.get).replace(WHITE_SPACE, "\t-\r "))
+        self.early = regex.compile(spelled(pattern, lambda initial: rf"\p{{{initial}}}"))
+        self.every = regex.compile(every)
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.ascii.findall(text)
+        return (self.early if max(text) < FIRST_UNASSIGNED else self.every).findall(text)
