@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import byte_bpe, packing, secret_scan, sharding, shingle_join, toxicity, url_filter
+from ledgerline.llm import byte_bpe, embedding_dedup, packing, secret_scan, sharding, shingle_join, toxicity, url_filter
 from ledgerline.llm.letters import spelled
 from tests.llm.test_operators import RANKS, WORD, written
 
@@ -146,3 +146,29 @@ def test_fitting_and_scoring_split_words_alike(spark):
     labels = spark.range(5).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 as int) as toxic")
     drawn = {r["_id"]: r["words"] for r in toxicity.labelled_rows(docs, labels).collect()}
     assert drawn == {i: sorted(toxicity.words_of(t or "")) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("functions", [1, 2, 3, 4])
+def test_recall_at_every_number_of_hashes(spark, functions):
+    """Pairs at cosine 0.9 and a little over, the hardest to find."""
+    rng = np.random.default_rng(7)
+    x = embedding_dedup.unit(rng.normal(size=(150, 64)))
+    apart = rng.normal(size=x.shape)
+    apart = embedding_dedup.unit(apart - (apart * x).sum(axis=1, keepdims=True) * x)
+    near = 0.9001 * x + np.sqrt(1 - 0.9001**2) * apart
+    rows = [(f"{i:03d}a", v) for i, v in enumerate(x.tolist())] + [(f"{i:03d}b", v) for i, v in enumerate(near.tolist())]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    got = embedding_dedup.near_duplicate_vectors(df, functions=functions).collect()
+    found = sum(r["n_links"] > 0 for r in got if r["vec_id"].endswith("b"))
+    assert found >= 0.97 * len(x) and all(r["component_id"][:3] == r["vec_id"][:3] for r in got)
+
+
+def test_vectors_empty_repeated_and_clashing(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0], 5), (1, [1.0, 0.0], 6), (2, [0.0, 0.0], 7), (None, [1.0, 0.0], 8), (3, [0.0, 1.0], 9)],
+        "vec_id bigint, embedding array<double>, n_links int")
+    got = embedding_dedup.near_duplicate_vectors(df)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True), (None, 0, None, True), (3, 0, 3, True)], key=repr)
+    assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
