@@ -129,16 +129,16 @@ def _links(classes: DataFrame, buckets: DataFrame, width: int, least: float) ->
         held: list[np.ndarray] | None = None
         for batch in batches:
             grid = np.column_stack([batch.column(i).to_numpy() for i in range(4)]).astype(np.int64)
-            ids = batch.column(5).to_numpy(zero_copy_only=False)
+            ids, kind = batch.column(5).to_numpy(zero_copy_only=False), batch.column(5).type
             new = [grid, batch.column(4).to_numpy(), ids, _matrix(batch.column(6), width)]
             held = new if held is None else [np.concatenate(two) for two in zip(held, new)]
             starts = np.flatnonzero(np.r_[True, (held[0][1:] != held[0][:-1]).any(axis=1)])
-            yield from found(held, starts, starts[1:])
+            yield from found(held, starts, starts[1:], kind)
             held = [x[starts[-1]:] for x in held]
         if held is not None:
-            yield from found(held, [0], [len(held[0])])
+            yield from found(held, [0], [len(held[0])], kind)
 
-    def found(held, starts, ends):
+    def found(held, starts, ends, kind):
         grid, tile, ids, x = held
         pairs = [
             compare(ids[i:j], tile[i:j], x[i:j], grid[i, 2] != grid[i, 3])
@@ -146,7 +146,7 @@ def _links(classes: DataFrame, buckets: DataFrame, width: int, least: float) ->
         ]
         if pairs:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([p[side] for p in pairs])) for side in (0, 1)], ["a", "b"])
+                [pa.array(np.concatenate([p[side] for p in pairs]), kind) for side in (0, 1)], ["a", "b"])
 
     columns = together.select(*keys, "_tile", "id", "vector")
     kind = classes.schema["id"].dataType.simpleString()
