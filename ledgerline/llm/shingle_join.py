@@ -25,6 +25,8 @@ SIMILAR = (7, 3)
 LANES = 16
 #: Rows compared with one another in one tile.
 TILE = 1024
+#: Parts that the rows of one leader are dealt into where they learn whether its groups are joined.
+SALTS = 16
 #: Documents sampled to learn which shingles are frequent, and how many are kept at most.
 #: The order of shingles only decides how many rows meet; every order gives the same links.
 SAMPLED_DOCUMENTS = 20_000
@@ -276,13 +278,18 @@ def _merged(groups: DataFrame) -> DataFrame:
     The shingles of one passage have nearly the same sets each, so that two
     sets would meet over every one of them. ``groups`` has ``h``, ``lead``,
     ``s`` and ``c``. Sets that were in a group together stay so; ``h`` becomes
-    the leader in joined groups, which ``joined`` marks.
+    the leader in joined groups, which ``joined`` marks. A leader may have a
+    third of all rows, so the look-up of its choice is salted; only leaders
+    whose groups are joined are repeated for it.
     """
     each = groups.groupBy("lead", "h").agg(F.count(F.lit(1)).alias("_k"))
     apart = each.groupBy("lead").agg(F.sum(F.col("_k") * F.col("_k")).alias("_apart"))
     joined = groups.select("lead", "s").distinct().groupBy("lead").agg(F.count(F.lit(1)).alias("_m"))
-    choice = apart.join(joined, "lead").select("lead", (F.col("_m") * F.col("_m") < F.col("_apart")).alias("joined"))
-    return groups.join(choice, "lead").select(
+    choice = apart.join(joined, "lead").where(F.col("_m") * F.col("_m") < F.col("_apart")).select(
+        "lead", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(True).alias("joined"))
+    salted = groups.withColumn("_salt", F.pmod(F.xxhash64("s"), F.lit(SALTS)).cast("int"))
+    chosen = salted.join(choice, ["lead", "_salt"], "left").withColumn("joined", F.coalesce("joined", F.lit(False)))
+    return chosen.select(
         F.when(F.col("joined"), F.col("lead")).otherwise(F.col("h")).alias("h"), "joined", "s", "c").distinct()
 
 
