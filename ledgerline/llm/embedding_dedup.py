@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import ship, stored
+from ledgerline.llm.common import discard, ship, stored
 from ledgerline.llm.components import connected_components, tile_pairs
 
 LEAST_COSINE = 0.9
@@ -90,67 +90,117 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def bucket_rows(classes: DataFrame, width: int, functions: int, tables: int, probes: int) -> DataFrame:
-    """(table, bucket, id) for every table and probe."""
-    kind = classes.schema["id"].dataType.simpleString()
+def with_buckets(classes: DataFrame, width: int, functions: int, tables: int, probes: int) -> DataFrame:
+    """The classes with their bucket numbers, those of one table after those of another."""
+    kinds = {c: classes.schema[c].dataType.simpleString() for c in ("id", "vector")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1), width)
-            for table in range(tables):
-                buckets = probe_buckets(x, table, functions, probes)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(buckets.size, table, dtype=np.int32)), pa.array(buckets.ravel()),
-                    batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), buckets.shape[1])))],
-                    ["table", "bucket", "id"])
+            if batch.num_rows:
+                x = _matrix(batch.column(2), width)
+                found = np.hstack([probe_buckets(x, table, functions, probes) for table in range(tables)])
+                starts = pa.array(np.arange(len(x) + 1) * found.shape[1], pa.int32())
+                lists = pa.ListArray.from_arrays(starts, pa.array(found.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["id", "copies", "vector", "buckets"])
 
-    return classes.select("id", "vector").mapInArrow(run, f"table int, bucket bigint, id {kind}")
+    schema = f"id {kinds['id']}, copies bigint, vector {kinds['vector']}, buckets array<bigint>"
+    return classes.select("id", "copies", "vector").mapInArrow(run, schema)
 
 
-def _links(classes: DataFrame, buckets: DataFrame, width: int, least: float) -> DataFrame:
-    """Pairs of classes that share a bucket and have the cosine, each once.
+def first_shared(a: np.ndarray, b: np.ndarray, buckets: np.ndarray, table: int, bucket: int) -> np.ndarray:
+    """Which pairs share no bucket before this one, by table and then number.
 
+    ``a`` and ``b`` are row numbers of ``buckets`` (row, table, probe).
+    """
+    left = np.arange(len(a))
+    for earlier in range(table + 1):
+        x, y = buckets[a[left], earlier], buckets[b[left], earlier]
+        shared = np.zeros(len(left), dtype=bool)
+        for i in range(x.shape[1]):
+            same = (y == x[:, i : i + 1]).any(axis=1)
+            shared |= same & (x[:, i] < bucket) if earlier == table else same
+        left = left[~shared]
+    keep = np.zeros(len(a), dtype=bool)
+    keep[left] = True
+    return keep
+
+
+def spanning(rows: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of the rows the smallest one that pairs lead to."""
+    least = np.arange(rows)
+    while True:
+        before = least.copy()
+        np.minimum.at(least, a, before[b])
+        np.minimum.at(least, b, before[a])
+        least = least[least]
+        if (least == before).all():
+            return least
+
+
+def _links(hashed: DataFrame, width: int, tables: int, least: float) -> DataFrame:
+    """What the classes that share a bucket and have the cosine say of one another.
+
+    Rows with ``n`` say how many rows the classes hold that ``a`` links with in
+    one tile; the others name two classes, ``a`` and ``b``, that links join.
+    A pair counts in the first bucket that it shares alone, and the pairs of a
+    tile are joined by fewer rows than the tile has, so that a dense cluster
+    makes as many rows as its tiles have and not as many as it has pairs.
     Rows of a tile lie together in a sorted partition; a task holds one tile
     and one batch at a time.
     """
     keys = ["table", "bucket", "_low", "_high"]
-    tiles = tile_pairs(buckets, ["table", "bucket"], F.xxhash64("id"), TILE)
-    with_vectors = tiles.join(classes.select("id", "vector"), "id")
-    together = with_vectors.repartition(*keys).sortWithinPartitions(*keys, "id")
-
-    def compare(ids, tile, x, split):
-        a, b = np.nonzero(np.triu(x @ x.T >= least, 1))
-        if split:
-            apart = tile[a] != tile[b]
-            a, b = a[apart], b[apart]
-        return ids[a], ids[b]
+    each = F.expr(f"size(buckets) div {tables}")
+    placed = hashed.select("id", each.alias("_each"), F.posexplode("buckets").alias("_place", "bucket")).select(
+        F.expr("cast(_place div _each as int)").alias("table"), "bucket", "id")
+    tiles = tile_pairs(placed, ["table", "bucket"], F.xxhash64("id"), TILE)
+    together = tiles.join(hashed, "id").repartition(*keys).sortWithinPartitions(*keys, "id")
+    kind = hashed.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             grid = np.column_stack([batch.column(i).to_numpy() for i in range(4)]).astype(np.int64)
-            ids, kind = batch.column(5).to_numpy(zero_copy_only=False), batch.column(5).type
-            new = [grid, batch.column(4).to_numpy(), ids, _matrix(batch.column(6), width)]
+            ids, arrow_kind = batch.column(5).to_numpy(zero_copy_only=False), batch.column(5).type
+            buckets = batch.column(8).flatten().to_numpy().reshape(batch.num_rows, tables, -1)
+            new = [grid, batch.column(4).to_numpy(), ids, batch.column(6).to_numpy(),
+                   _matrix(batch.column(7), width), buckets]
             held = new if held is None else [np.concatenate(two) for two in zip(held, new)]
             starts = np.flatnonzero(np.r_[True, (held[0][1:] != held[0][:-1]).any(axis=1)])
-            yield from found(held, starts, starts[1:], kind)
+            yield from found(held, starts, starts[1:], arrow_kind)
             held = [x[starts[-1]:] for x in held]
         if held is not None:
-            yield from found(held, [0], [len(held[0])], kind)
-
-    def found(held, starts, ends, kind):
-        grid, tile, ids, x = held
-        pairs = [
-            compare(ids[i:j], tile[i:j], x[i:j], grid[i, 2] != grid[i, 3])
-            for i, j in zip(starts, ends) if j - i > 1
-        ]
-        if pairs:
+            yield from found(held, [0], [len(held[0])], arrow_kind)
+
+    def found(held, starts, ends, arrow_kind):
+        for i, j in zip(starts, ends):
+            if j - i > 1:
+                (table, bucket, low, high), *columns = held[0][i], *[x[i:j] for x in held[1:]]
+                yield from compared(table, bucket, low != high, *columns, arrow_kind)
+
+    def compared(table, bucket, split, tile, ids, copies, x, buckets, arrow_kind):
+        a, b = np.nonzero(np.triu(x @ x.T >= least, 1))
+        if split:
+            apart = tile[a] != tile[b]
+            a, b = a[apart], b[apart]
+        first = first_shared(a, b, buckets, table, bucket)
+        a, b = a[first], b[first]
+        if len(a):
+            others = np.zeros(len(ids), dtype=np.int64)
+            np.add.at(others, a, copies[b])
+            np.add.at(others, b, copies[a])
+            met = np.flatnonzero(others)
+            centre = spanning(len(ids), a, b)
+            moved = np.flatnonzero(centre != np.arange(len(ids)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[met], arrow_kind), pa.nulls(len(met), arrow_kind), pa.array(others[met])], ["a", "b", "n"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([p[side] for p in pairs]), kind) for side in (0, 1)], ["a", "b"])
+                [pa.array(ids[moved], arrow_kind), pa.array(ids[centre[moved]], arrow_kind),
+                 pa.nulls(len(moved), pa.int64())], ["a", "b", "n"])
 
-    columns = together.select(*keys, "_tile", "id", "vector")
-    kind = classes.schema["id"].dataType.simpleString()
-    return columns.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    columns = together.select(*keys, "_tile", "id", "copies", "vector", "buckets")
+    return columns.mapInArrow(run, f"a {kind}, b {kind}, n bigint")
 
 
 def near_duplicate_vectors(
@@ -170,7 +220,8 @@ def near_duplicate_vectors(
     Every link reported is verified in double precision. Of all links, tables
     and probes find nearly all at every number of hashes (``EFFORT`` and the recall tests);
     the number follows from that of the vectors unless given. Crowded buckets are
-    compared whole, in tiles.
+    compared whole, in tiles; of the pairs found only counts and the joined
+    components leave a tile.
     """
     ship(embeddings.sparkSession)
     vector = F.col("_vector")
@@ -186,12 +237,12 @@ def near_duplicate_vectors(
     width = 1 << max(0, (max(facts["d"] or 1, 1) - 1).bit_length())
     functions = functions or functions_for(facts["n"], width)
     effort = EFFORT[functions]
-    buckets = stored(bucket_rows(classes, width, functions, tables or effort[0], probes or effort[1]), "buckets")
-    links = stored(_links(classes, buckets, width, least), "vector-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counted = both.join(classes.select(F.col("id").alias("b"), "copies"), "b").groupBy(
-        F.col("a").alias("id")).agg(F.sum("copies").alias("_others"))
-    part = connected_components(links, "a", "b")
+    tables = tables or effort[0]
+    hashed = stored(with_buckets(classes, width, functions, tables, probes or effort[1]), "buckets")
+    links = stored(_links(hashed, width, tables, least), "vector-links")
+    discard(hashed)
+    counted = links.where("n IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("_others"))
+    part = connected_components(links.where("n IS NULL"), "a", "b")
     labelled = stored(
         classes.join(counted, "id", "left").join(part, "id", "left").select(
             F.col("vector").alias("_vector"), F.coalesce("component", "id").alias("_component"),
