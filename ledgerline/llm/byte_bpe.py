@@ -1,4 +1,6 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words, and the way back.
+"""Byte-level BPE on one worker: ranked merges over the bytes of distinct words, and the way back.
+
+``bpe_fold`` has the same results with the merges as a fold in Spark.
 
 A text is cut at spaces that follow a non-space. No match of the splitting
 pattern crosses such a place, so each cut-out stretch is encoded once per
@@ -80,6 +82,16 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(size) if there[i]]
 
 
+def cut(text: str) -> list[str]:
+    """The stretches of a text that are split on their own."""
+    if not text:
+        return []
+    parts = text.split(" ")
+    if any(not part or part.isspace() for part in parts):
+        return [text]
+    return [parts[0], *[" " + part for part in parts[1:]]]
+
+
 class ByteBpe:
     """Encoder and decoder with a bounded memory of stretches and words.
 
@@ -123,16 +135,8 @@ class ByteBpe:
                 self.stretches[text] = known
         return known
 
-    def cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        parts = text.split(" ")
-        if any(not part or part.isspace() for part in parts):
-            return [text]
-        return [parts[0], *[" " + part for part in parts[1:]]]
-
     def encode(self, text: str) -> tuple[bytes, int, bytes]:
-        found = [self.stretch(part) for part in self.cut(text)]
+        found = [self.stretch(part) for part in cut(text)]
         return (
             b"".join([x[0] for x in found])[:-1], sum([x[1] for x in found]), b"".join([x[2] for x in found])
         )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, packing, periodic_runs, quality_trees, secret_scan, sharding, shingle_join,
+    bpe_fold, embedding_dedup, exact_dedup, packing, periodic_runs, quality_trees, secret_scan, sharding, shingle_join,
     suffix_dedup, target_resampling, toxicity, url_filter,
 )
 from ledgerline.llm.common import documents, whole_text
@@ -64,7 +64,7 @@ def op5(spark, folder):
 
 @query("op6_byte_bpe")
 def op6(spark, folder):
-    return byte_bpe.coding_digests(
+    return bpe_fold.folded_digests(
         documents(spark, folder), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
 
 
