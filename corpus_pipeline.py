@@ -40,10 +40,15 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by shingle similarity keep the document with the smallest id."""
-    groups = shingle_join.jaccard_components(docs.select("doc_id", "text"))
-    dropped = groups.where("component_id <> doc_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each group linked by shingle similarity keep the document with the smallest id.
+
+    Documents that share an id are told apart by the hash of their text.
+    """
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    groups = shingle_join.jaccard_components(docs.select(row.alias("row"), "text"), "row")
+    dropped = groups.where("component_id <> row").select("row.*").alias("dropped")
+    same = (F.col("docs.doc_id") == F.col("dropped.doc_id")) & (F.xxhash64("docs.text") == F.col("dropped.text_hash"))
+    return docs.alias("docs").join(dropped, same, "left_anti")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
