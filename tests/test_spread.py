@@ -15,19 +15,19 @@ def one_file(spark, rows):
 
 
 def test_one_file_is_spread_evenly_and_repeatably(spark):
-    table = one_file(spark, 40_000)
+    table = one_file(spark, 45_000)
     assert table.rdd.getNumPartitions() == 1
     spread = L.spread(table)
     sizes = spread.rdd.glom().map(len).collect()
-    assert len(sizes) == 4 and max(sizes) < 12_500
+    assert len(sizes) == 3 and max(sizes) < 15_100
     order = spread.select("id", F.spark_partition_id()).collect()
     assert order == spread.select("id", F.spark_partition_id()).collect()
-    assert sorted(r["id"] for r in order) == list(range(40_000))
+    assert sorted(r["id"] for r in order) == list(range(45_000))
 
 
 def test_equal_rows_are_spread_too(spark):
-    table = store(spark.range(30_000).select(F.lit(1).alias("k")).coalesce(1), fresh_dir(spark, "equal"))
-    assert L.spread(table).rdd.glom().map(len).collect() == [10_000] * 3
+    table = store(spark.range(45_000).select(F.lit(1).alias("k")).coalesce(1), fresh_dir(spark, "equal"))
+    assert L.spread(table).rdd.glom().map(len).collect() == [15_000] * 3
 
 
 def test_tasks_follow_the_rows(spark):
@@ -43,4 +43,4 @@ def test_models_are_fitted_on_spread_rows(spark, monkeypatch):
     tasks = []
     monkeypatch.setattr(M, "fit", lambda candidate, train: tasks.append(train.rdd.getNumPartitions()))
     Q.fitted("GBT", one_file(spark, 30_000))
-    assert tasks == [3]
+    assert tasks == [2]
