@@ -1,8 +1,9 @@
 """Ranked merges as a fold of Spark's higher-order functions over the bytes of a word.
 
-The ranks are one literal in the plan: an array of small maps, indexed by the
-checksum of a piece, so that a look-up scans a few entries and not the whole
-vocabulary. Pieces are upper-case hex strings while they are merged.
+The ranks of pairs are literal arrays in the plan, in which the pairs of all
+pieces interlock, so that a look-up reads two numbers. Pieces are their ranks
+while they are merged. The lowest pair and its place are one minimum, as
+``array_position`` leaves its loop by an exception for each merge.
 
 One narrow job does it all: tasks split their texts and number distinct words,
 Spark folds the merges of each word new to its task, and the same tasks put
@@ -18,6 +19,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import from_arrow_type
@@ -26,12 +28,15 @@ from ledgerline.llm.byte_bpe import LONG_WORD, cut, merge_word, read_ranks
 from ledgerline.llm.common import ship, whole_text
 from ledgerline.llm.letters import Splitter, spelled
 
-#: Maps of the literal; a vocabulary of 50,000 has three entries in each.
+#: Maps of a literal that holds whole words.
 MAPS = 1 << 14
-EDGE = "-"
+#: Bits of a rank and of a place in a word; an item of the fold takes three times as many.
+BITS = 20
+#: The character that follows those of all bytes.
+EDGE = "\u0100"
 #: Words and bytes of words a task numbers before it begins a new dictionary; bounds its memory.
-DICTIONARY_WORDS, DICTIONARY_BYTES = 500_000, 64 << 20
-#: Stretches whose word numbers a task remembers.
+DICTIONARY_WORDS, DICTIONARY_BYTES = 1_000_000, 64 << 20
+#: Stretches whose word numbers a task remembers, of texts that are slow to split.
 STRETCHES = 200_000
 #: Code points of text for which new words are gathered into one row.
 GATHERED = 4 << 20
@@ -55,59 +60,90 @@ def _rank(maps: Column, size: int, piece: Column) -> Column:
     return F.try_element_at(F.get(maps, F.pmod(F.crc32(piece), F.lit(size)).cast("int")), piece)
 
 
-def _merged(state: Column, place: Column, maps: Column, size: int) -> Column:
-    """The state after the pieces of pair ``place`` became one; the pairs beside it are ranked anew."""
-    def put(state: Column, joined: Column) -> Column:
-        parts, pairs = state["parts"], state["pairs"]
-        beside = F.array(
-            _rank(maps, size, F.concat(F.get(parts, place - 2), joined)),
-            _rank(maps, size, F.concat(joined, F.get(parts, place + 1))),
-        )
-        return F.struct(
-            F.flatten(F.array(
-                F.slice(parts, 1, place - 1), F.array(joined), F.slice(parts, place + 2, F.size(parts)))).alias("parts"),
-            F.flatten(F.array(
-                F.slice(pairs, 1, place - 2), beside, F.slice(pairs, place + 2, F.size(parts)))).alias("pairs"),
-        )
+def pair_cells(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """Where the pairs of a piece begin, by its rank, and one list of cells that the pairs of all pieces share.
 
-    parts = state["parts"]
-    return F.aggregate(F.array(F.concat(F.get(parts, place - 1), F.get(parts, place))), state, put)
-
-
-def _fold_word(word: Column, maps: Column, size: int) -> Column:
+    The pair of pieces l and r that merge to m has ``l << BITS | m`` in cell ``begin[l] + r``. Where l and r do
+    not merge, that cell holds a pair of another piece or none; it is never outside the list.
+    """
+    top = max(ranks.values()) + 2
+    if top >= 1 << BITS:
+        raise ValueError(f"ranks reach {top - 2}, the fold takes less than {(1 << BITS) - 2}")
+    pairs: dict[int, dict[int, int]] = {}
+    for piece, rank in ranks.items():
+        for i in range(1, len(piece)):
+            if piece[:i] in ranks and piece[i:] in ranks:
+                pairs.setdefault(ranks[piece[:i]], {})[ranks[piece[i:]]] = rank
+    begin, cells = [0] * top, np.full(4 * top, -1)
+    least = 0  # where the search for room begins
+    for left, row in sorted(pairs.items(), key=lambda pair: -len(pair[1])):
+        first, *others = row
+        at, step = max(least, first), 256
+        while True:
+            if len(cells) < at + step + top:
+                cells = np.append(cells, np.full(len(cells), -1))
+            room = at + np.flatnonzero(cells[at : at + step] < 0) - first
+            for right in others:
+                room = room[cells[room + right] < 0]
+            if len(room):
+                break
+            at, step = at + step, min(2 * step, 1 << 15)
+        if len(row) < 16:
+            least = max(least, at - first)
+        begin[left] = int(room[0])
+        for right, rank in row.items():
+            cells[begin[left] + right] = left << BITS | rank
+    cells[cells < 0] = (1 << 2 * BITS) - 1
+    return begin, cells[: max(begin) + top].tolist()
+
+
+def unreached(ranks: dict[bytes, int]) -> dict[bytes, int]:
+    """Pieces that are one id as a word though no merges of their bytes lead to them."""
+    found = {}
+    for piece, rank in list(ranks.items()):
+        if len(piece) > 1:
+            del ranks[piece]
+            if len(merge_word(piece, ranks)) != 2:
+                found[piece] = rank
+            ranks[piece] = rank
+    return found
+
+
+def _fold_word(word: Column, letters: Column, begin: Column, cells: Column) -> Column:
     """Ids of a word: merge the lowest-ranked neighbouring pair, leftmost first, till none is left.
 
-    An ``EDGE``, which no piece holds, stands at both ends, so that every pair that merges has two beside it.
+    An item is a piece and, above its ``BITS``, the rank of its pair with the next piece; ``1 << BITS`` or more
+    says that they do not merge. An edge, with which nothing merges, stands before the word, two behind it.
     """
-    name = F.hex(word)
-    letters = F.transform(
-        F.sequence(F.lit(0), F.octet_length(word) + 1),
-        lambda i: F.when((i == 0) | (i > F.octet_length(word)), F.lit(EDGE)).otherwise(F.substr(name, 2 * i - 1, F.lit(2))),
-    )
-
-    def folded(parts: Column) -> Column:
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: _rank(maps, size, F.concat(F.get(parts, i), F.get(parts, i + 1))),
-        )
-        return F.aggregate(
-            F.sequence(F.lit(4), F.size(parts)),
-            F.struct(parts.alias("parts"), pairs.alias("pairs")),
-            lambda state, _: F.aggregate(
-                F.array(F.array_position(state["pairs"], F.array_min(state["pairs"])).cast("int")),
-                state,
-                lambda state, place: F.when(place.isNull(), state).otherwise(_merged(state, place, maps, size)),
-            ),
-            lambda state: F.transform(
-                F.slice(state["parts"], 2, F.size(state["parts"]) - 2), lambda piece: _rank(maps, size, piece)),
-        )
-
-    return _with(
-        _rank(maps, size, name),
-        lambda whole: F.when(F.octet_length(word) == 0, F.array().cast("array<int>"))
-        .when(whole.isNotNull(), F.array(whole))
-        .otherwise(_with(letters, folded)),
-    )
+    mask = (1 << BITS) - 1
+
+    def item(left: Column, right: Column) -> Column:
+        rank = F.get(cells, F.get(begin, left) + right).bitwiseXOR(F.shiftleft(left, BITS))
+        return F.shiftleft(rank, BITS).bitwiseOR(left)
+
+    def merged(items: Column, lowest: Column) -> Column:
+        place, joined = lowest.bitwiseAND(F.lit(mask)).cast("int"), F.shiftright(lowest, BITS)
+        before, after = F.get(items, place - 1).bitwiseAND(F.lit(mask)), F.get(items, place + 2).bitwiseAND(F.lit(mask))
+        return F.flatten(F.array(
+            F.slice(items, 1, place - 1),
+            F.zip_with(F.array(before, joined), F.array(joined, after), item),
+            F.slice(items, place + 3, F.size(items)),
+        ))
+
+    def step(items: Column, _) -> Column:
+        placed = F.transform(items, lambda x, place: x.bitwiseAND(F.lit(~mask)).bitwiseOR(place.cast("long")))
+        return F.when(
+            F.array_min(items) < 1 << 2 * BITS, F.aggregate(F.array(F.array_min(placed)), items, merged)).otherwise(items)
+
+    text = F.concat(F.lit(EDGE), F.decode(word, "ISO-8859-1"), F.lit(2 * EDGE))
+    pieces = F.transform(F.split(text, ""), lambda letter: F.get(letters, F.ascii(letter)))
+    return _with(pieces, lambda pieces: F.aggregate(
+        F.sequence(F.lit(5), F.size(pieces)),
+        F.zip_with(F.slice(pieces, 1, F.size(pieces) - 1), F.slice(pieces, 2, F.size(pieces)), item),
+        step,
+        lambda items: F.transform(
+            F.slice(items, 2, F.size(items) - 2), lambda x: x.bitwiseAND(F.lit(mask)).cast("int")),
+    ))
 
 
 def fold_words(words: Column, ranks: dict[bytes, int], maps: int = MAPS) -> Column:
@@ -115,7 +151,18 @@ def fold_words(words: Column, ranks: dict[bytes, int], maps: int = MAPS) -> Colu
 
     Each merge of a word scans the word, so callers keep very long words away.
     """
-    return _with(rank_maps(ranks, maps), lambda table: F.transform(words, lambda w: _fold_word(w, table, maps)))
+    def literal(values: list[int]) -> Column:
+        return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+    begin, cells = pair_cells(ranks)
+    letters = [ranks[bytes([b])] for b in range(256)] + [max(ranks.values()) + 1]
+    folded = _with(literal(letters), lambda letters: _with(literal(begin), lambda begin: _with(
+        literal(cells), lambda cells: F.transform(words, lambda word: _fold_word(word, letters, begin, cells)))))
+    whole = unreached(ranks)
+    if not whole:
+        return folded
+    return _with(rank_maps(whole, maps), lambda table: F.zip_with(words, folded, lambda word, ids: _with(
+        _rank(table, maps, F.hex(word)), lambda rank: F.when(rank.isNull(), ids).otherwise(F.array(rank)))))
 
 
 class WordNumbers:
@@ -160,6 +207,13 @@ class WordNumbers:
         return found
 
     def text(self, text: str) -> bytes:
+        if self.split.quick(text):
+            known = self.numbers.get
+            words = self.split(text)
+            found = list(map(known, words))
+            if None in found:
+                found = [self.number(word) if n is None else n for word, n in zip(words, found)]
+            return array("I", found).tobytes()
         known = self.stretches.get
         return b"".join([known(part) or self.stretch(part) for part in cut(text)])
 
@@ -174,11 +228,13 @@ class WordNumbers:
 
 
 class WordIds:
-    """What the numbers of a task stand for: decimal ids, their number and their bytes."""
+    """What the numbers of a task stand for: ids, or only decimal ids and their bytes."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], lists: bool = True):
         self.ranks = ranks
+        self.lists = lists
         self.pieces = {rank: piece for piece, rank in ranks.items()}
+        self.decimals = {rank: b"%d," % rank for rank in self.pieces}
         self.begin()
 
     def begin(self) -> None:
@@ -188,11 +244,23 @@ class WordIds:
 
     def add(self, folded: list[list[int]], long: list[bytes]) -> None:
         rest = iter(long)
+        decimal, piece = self.decimals.__getitem__, self.pieces.__getitem__
         for ids in folded:
             ids = ids or merge_word(next(rest), self.ranks)
-            self.ids.append(ids)
-            self.joined.append(b"%b," % ",".join(map(str, ids)).encode())
-            self.content.append(b"".join([self.pieces[i] for i in ids]))
+            if self.lists:
+                self.ids.append(ids)
+            self.joined.append(b"".join(map(decimal, ids)))
+            self.content.append(b"".join(map(piece, ids)))
+
+
+def _lists(folded: pa.ListScalar) -> list[list[int]]:
+    """The ids of each word; NULL has none. Much faster than ``as_py``."""
+    if not folded.is_valid:
+        return []
+    words = folded.values
+    ends = words.offsets.to_pylist()
+    ids = words.values.slice(ends[0], ends[-1] - ends[0]).to_numpy().tolist()
+    return [ids[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:])]
 
 
 def _numbered(docs: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFrame:
@@ -233,6 +301,15 @@ def _numbered(docs: DataFrame, pattern: str, id_col: str, text_col: str) -> Data
         run, f"id {kind.simpleString()}, first boolean, fresh array<binary>, long array<binary>, numbers binary")
 
 
+def fewer_tasks(docs: DataFrame) -> DataFrame:
+    """The rows in a quarter of the partitions, but at least two a core: a task folds each of its words once.
+
+    For tables as read; what comes from a shuffle would be shuffled for the count.
+    """
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    return docs.coalesce(max(tasks, docs.rdd.getNumPartitions() // 4))
+
+
 def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, kinds: dict, put) -> DataFrame:
     """``put`` of the words and the numbers of each text, as the columns ``kinds`` after the id."""
     spark = docs.sparkSession
@@ -244,7 +321,7 @@ def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col
         "id", "first", F.when(F.size("fresh") > 0, fold_words(F.col("fresh"), ranks)).alias("folded"), "long", "numbers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(shared.value)
+        words = WordIds(shared.value, lists="token_ids" in kinds)
         for batch in batches:
             keys, rows = [], []
             for key, first, ids, long, numbers in zip(*batch.columns):
@@ -254,7 +331,7 @@ def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col
                     continue
                 if first.as_py():
                     words.begin()
-                words.add(ids.as_py() or [], long.as_py())
+                words.add(_lists(ids), long.as_py())
             if rows:
                 columns = [pa.array(values, of) for values, of in zip(zip(*rows), kinds.values())]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(0).type), *columns], [id_col, *kinds])
@@ -275,8 +352,8 @@ def folded_digests(
     is empty; repeated rows repeat; no rows in, no rows out.
     """
     def put(words: WordIds, numbers: array) -> tuple[int, str, str]:
-        joined = b"".join([words.joined[n] for n in numbers])[:-1]
-        content = b"".join([words.content[n] for n in numbers])
+        joined = b"".join(map(words.joined.__getitem__, numbers))[:-1]
+        content = b"".join(map(words.content.__getitem__, numbers))
         count = joined.count(b",") + 1 if joined else 0
         return count, hashlib.sha256(joined).hexdigest(), hashlib.sha256(content).hexdigest()
 

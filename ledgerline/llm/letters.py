@@ -23,9 +23,9 @@ FIRST_UNASSIGNED = "\u0378"
 
 
 @lru_cache
-def unicode_class(initial: str) -> str:
+def unicode_class(initial: str, below: int = sys.maxunicode + 1) -> str:
     """The code points whose category begins with a letter, as ranges for a bracket expression."""
-    inside = [unicodedata.category(chr(c))[0] == initial for c in range(sys.maxunicode + 1)]
+    inside = [unicodedata.category(chr(c))[0] == initial for c in range(below)]
     edges = [c for c in range(len(inside) + 1) if (c and inside[c - 1]) != (c < len(inside) and inside[c])]
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
 
@@ -49,10 +49,15 @@ class Splitter:
 
     def __init__(self, pattern: str, every: str):
         self.ascii = re.compile(spelled(pattern, {"L": "A-Za-z", "N": "0-9"}.get).replace(WHITE_SPACE, "\t-\r "))
-        self.early = regex.compile(spelled(pattern, lambda initial: rf"\p{{{initial}}}"))
+        self.early = re.compile(spelled(pattern, lambda initial: unicode_class(initial, ord(FIRST_UNASSIGNED))))
         self.every = regex.compile(every)
+        self.late = re.compile(f"[^\0-{chr(ord(FIRST_UNASSIGNED) - 1)}]")
+
+    def quick(self, text: str) -> bool:
+        """Whether short classes say the same for this text."""
+        return not self.late.search(text)
 
     def __call__(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii.findall(text)
-        return (self.early if max(text) < FIRST_UNASSIGNED else self.every).findall(text)
+        return (self.early if self.quick(text) else self.every).findall(text)

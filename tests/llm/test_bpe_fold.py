@@ -97,3 +97,46 @@ def test_a_new_dictionary_begins_when_one_is_full(monkeypatch):
         ids.add([byte_bpe.merge_word(w, ranks) if w else [] for w in fresh], long)
         assert [i for n in array("I", found) for i in ids.ids[n]] == want.encode_ordinary(text)
     assert begun > 3
+
+
+def test_all_pairs_of_the_vocabulary_are_found_and_no_others():
+    ranks = byte_bpe.read_ranks(RANKS)
+    begin, cells = bpe_fold.pair_cells(ranks)
+    pieces = {rank: piece for piece, rank in ranks.items()}
+    rng = random.Random(5)
+    some = [(rng.randrange(len(ranks)), rng.randrange(len(ranks) + 1)) for _ in range(50_000)]
+    some += [(ranks[p[:i]], ranks[p[i:]]) for p in ranks for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks]
+    for left, right in some + [(len(ranks), 3), (len(ranks), len(ranks))]:
+        found = cells[begin[left] + right] ^ left << bpe_fold.BITS
+        want = ranks.get(pieces.get(left, b"\0" * 99) + pieces.get(right, b"\0" * 99))
+        assert found == want if want is not None else found >> bpe_fold.BITS
+
+
+def test_words_that_no_merges_lead_to_are_one_id(spark):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257, b"xyz": 300}
+    words = [b"xyz", b"xyzxyz", b"abc", b"zabcab", b"a", b"", b"\xff\x00"]
+    assert bpe_fold.unreached(ranks) == {b"xyz": 300}
+    one = spark.createDataFrame([(words,)], "words array<binary>")
+    got = one.select(bpe_fold.fold_words(F.col("words"), ranks)).first()[0]
+    assert got == [byte_bpe.merge_word(w, ranks) if w else [] for w in words]
+
+
+def test_the_fold_leaves_no_loop_by_an_exception(spark):
+    plan = bpe_fold.folded_digests(table(spark, ["a b"]), RANKS, PATTERN)
+    assert "array_position" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_partitions_as_read_share_tasks(spark):
+    least = 2 * spark.sparkContext.defaultParallelism
+    assert bpe_fold.fewer_tasks(spark.range(0, 100, 1, 8 * least)).rdd.getNumPartitions() == 2 * least
+    assert bpe_fold.fewer_tasks(spark.range(0, 100, 1, 3)).rdd.getNumPartitions() == 3
+
+
+def test_early_letters_are_split_as_by_every_class():
+    split = Splitter(PATTERN, spelled(PATTERN))
+    rng = random.Random(3)
+    early = "".join(map(chr, range(0x378)))
+    for _ in range(3_000):
+        text = "".join(rng.choice(early) for _ in range(30))
+        assert split.quick(text) and split(text) == split.every.findall(text)
+    assert not split.quick("a͸") and not split.quick("\U0001f600")
