@@ -1,6 +1,7 @@
 """Trees grown from histograms of binned rows, against Spark's own."""
 
 import dataclasses
+import math
 
 import pytest
 from pyspark.ml import Pipeline
@@ -52,12 +53,39 @@ def test_boosting_equals_sparks(table, preparation, monkeypatch):
     assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=1e-6)
 
 
-def test_many_rows_are_fitted_by_growing(spark, clients, monkeypatch):
+def test_a_tree_of_all_rows_equals_sparks(table, preparation):
+    classifier = M.CANDIDATES["RandomForest"].classifier(
+        numTrees=1, maxDepth=6, bootstrap=False, featureSubsetStrategy="all")
+    ours, theirs = G.grow_forest(classifier, preparation, table), classifier.fit(preparation.transform(table))
+    equal(ours, theirs, preparation.transform(table))
+    assert ours.numClasses == 2 and ours.totalNumNodes == theirs.totalNumNodes
+
+
+def test_a_forest_is_as_good_as_sparks_and_repeatable(table, preparation):
+    classifier, rows = M.CANDIDATES["RandomForest"].classifier(numTrees=30), preparation.transform(table)
+    ours, theirs = G.grow_forest(classifier, preparation, table), classifier.fit(rows)
+    assert len({t.toDebugString for t in ours.trees}) == 30
+    areas = [E.auc(E.with_score(m.transform(rows))).first()[0] for m in (ours, theirs)]
+    assert areas[0] == pytest.approx(areas[1], abs=0.02)
+    assert 0.8 < ours.totalNumNodes / theirs.totalNumNodes < 1.25
+    assert probabilities(G.grow_forest(classifier, preparation, table), rows) == probabilities(ours, rows)
+
+
+def test_bootstrap_draws_are_poisson():
+    drawn = G.times_drawn([1, 2, 3], 200_000, 1.0)
+    shares = [float((drawn == k).mean()) for k in range(5)]
+    assert shares == pytest.approx([math.exp(-1) / math.factorial(k) for k in range(5)], abs=0.005)
+    assert (drawn == G.times_drawn([1, 2, 3], 200_000, 1.0)).all()
+    assert (drawn != G.times_drawn([1, 2, 4], 200_000, 1.0)).any()
+
+
+@pytest.mark.parametrize("name", ["RandomForest", "GBT"])
+def test_many_rows_are_fitted_by_growing(spark, clients, monkeypatch, name):
     from ledgerline.plans.training import model_table
     rows = model_table(clients, "row_id").limit(2_000).persist()
-    many = dataclasses.replace(M.CANDIDATES["GBT"], grow_above=1_999)
+    many = dataclasses.replace(M.CANDIDATES[name], grow_above=1_999)
     monkeypatch.setattr(many.make, "fit", None)  # Spark's fit keeps no pace with the rows
-    model = M.fit(many, rows, maxIter=2, maxDepth=3)
+    model = M.fit(many, rows, maxDepth=3, **({"maxIter": 2} if name == "GBT" else {"numTrees": 5}))
     path = fresh_dir(spark, "grown")
     M.save(model, path)
     scored = M.predict(M.load(path), rows).persist()
